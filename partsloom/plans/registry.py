@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from partsloom.plans import problems
+from partsloom.plans import problems, reference
 
-QUERIES = {**problems.QUERIES}
-ORACLE = {**problems.ORACLE}
+QUERIES = {**reference.QUERIES, **problems.QUERIES}
+ORACLE = {**reference.ORACLE, **problems.ORACLE}
