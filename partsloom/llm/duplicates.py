@@ -213,7 +213,9 @@ def copy_counts(df: DataFrame, key: str = "row_id", a: str = "part_no", b: str =
 
 
 def collapsed(df: DataFrame, key: str = "row_id", a: str = "part_no", b: str = "description") -> DataFrame:
-    """The rows that stand for their class, with `copies` (1 where there are no others)."""
+    """The rows that stand for their class, with `copies` (1 where there are no others; a column
+    of that name is replaced)."""
+    df = df.drop("copies")
     found = cut_lineage(copies(df, key, a, b))
     counts = found.groupBy(F.col("keep_id").alias(key)).agg((F.count("*") + 1).alias("copies"))
     kept = df.join(found.select(F.col("row_id").alias(key)), key, "left_anti")

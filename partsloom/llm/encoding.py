@@ -17,6 +17,7 @@ text are ordinary text.
 from __future__ import annotations
 
 import base64
+import hashlib
 import struct
 from pathlib import Path
 
@@ -24,6 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CACHE = 400_000
+#: Pre-tokens beyond this length are not kept.
+LONG = 200
 
 #: Fixed value: the pre-token pattern of the vocabulary.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -112,37 +115,36 @@ class Codec:
         if new:
             mapped = [w.encode().decode("latin-1").translate(self.to_chars) for w in new]
             seen.update(zip(new, self.sp.encode(mapped, num_threads=1)))
-        return [[i for w in words for i in seen[w]] for words in cut]
+        out = [[i for w in words for i in seen[w]] for words in cut]
+        for w in new:
+            if len(w) > LONG:
+                del seen[w]
+        return out
 
     def decode(self, ids: list[int]) -> str:
         return bytes(self.to_byte[c] for i in ids for c in self.sp.id_to_piece(int(i))).decode("utf-8", "replace")
 
 
-_codecs: dict[int, Codec] = {}
+#: The codec a worker holds, by the token of its model.
+_codecs: dict[str, Codec] = {}
 
 
-def _codec(shared) -> Codec:
-    if shared.id not in _codecs:
+def _codec(token: str, model) -> Codec:
+    if token not in _codecs:
         _codecs.clear()
-        _codecs[shared.id] = Codec(shared.value)
-    return _codecs[shared.id]
+        _codecs[token] = Codec(model.value)
+    return _codecs[token]
 
 
-class _Shared:
-    """A broadcast and an id by which a worker recognises it."""
-
-    def __init__(self, spark, model: bytes):
-        self._b = spark.sparkContext.broadcast(model)
-        self.id = hash(model)
-
-    @property
-    def value(self) -> bytes:
-        return self._b.value
+def _shared(spark, vocabulary: str | None):
+    """(token, broadcast model) of a vocabulary file."""
+    model = serialise_model(read_ranks(vocabulary or vocabulary_path()))
+    return hashlib.sha256(model).hexdigest(), spark.sparkContext.broadcast(model)
 
 
 def encode(df: DataFrame, key: str = "doc_id", column: str = "text", vocabulary: str | None = None) -> DataFrame:
     """(key, ids): the token ids of every row."""
-    shared = _Shared(df.sparkSession, serialise_model(read_ranks(vocabulary or vocabulary_path())))
+    token, model = _shared(df.sparkSession, vocabulary)
     src = df.select(F.col(key).alias("k"), F.col(column).alias("t"))
     kind = src.schema["k"].dataType.simpleString()
 
@@ -150,7 +152,7 @@ def encode(df: DataFrame, key: str = "doc_id", column: str = "text", vocabulary:
         import numpy as np
         import pyarrow as pa
 
-        codec = _codec(shared)
+        codec = _codec(token, model)
         for batch in batches:
             ids = codec.encode_batch(batch.column(1).to_pylist())
             ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
@@ -163,14 +165,14 @@ def encode(df: DataFrame, key: str = "doc_id", column: str = "text", vocabulary:
 
 def decode(df: DataFrame, key: str = "doc_id", column: str = "ids", vocabulary: str | None = None) -> DataFrame:
     """(key, text): ids back to text; null ids give an empty text."""
-    shared = _Shared(df.sparkSession, serialise_model(read_ranks(vocabulary or vocabulary_path())))
+    token, model = _shared(df.sparkSession, vocabulary)
     src = df.select(F.col(key).alias("k"), F.col(column).alias("i"))
     kind = src.schema["k"].dataType.simpleString()
 
     def run(batches):
         import pyarrow as pa
 
-        codec = _codec(shared)
+        codec = _codec(token, model)
         for batch in batches:
             texts = [codec.decode(ids or []) for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=[key, "text"])

@@ -25,6 +25,7 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -109,8 +110,15 @@ class Index:
         budget, passage = n // PER, self.passages[k]
         need = (n - PIECE + 1) // PIECE - budget
         out = set()
-        for d in {i - at for i, at in hits}:
-            near = sorted({at for i, at in hits if d <= i - at <= d + budget})
+        lines = sorted({(i - at, at) for i, at in hits})
+        high = 0
+        for low, (d, _) in enumerate(lines):
+            if low and lines[low - 1][0] == d:
+                continue
+            high = max(high, low)
+            while high < len(lines) and lines[high][0] <= d + budget:
+                high += 1
+            near = sorted({at for _, at in lines[low:high]})
             for x in range(len(near) - need + 1):
                 a, b = near[x], near[x + need - 1]
                 for start in range(max(0, b + PIECE - n), min(a, len(passage) - n) + 1):
@@ -133,10 +141,11 @@ class Index:
         w = [get(x, 0) for x in words(text)]
         if len(w) < WORDS - WORDS // PER:
             return []
-        return [self.ids[k] for k, h in self.hits(w).items() if len(h) > 1 and self.verify(w, k, h)]
+        return [self.ids[k] for k, h in self.hits(w).items() if len({at for _, at in h}) > 1 and self.verify(w, k, h)]
 
 
-_indexes: dict[int, Index] = {}
+#: The index a worker holds, by the token of its block.
+_indexes: dict[str, Index] = {}
 
 
 def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "test_id", passage: str = "passage", block: int = BLOCK) -> DataFrame:
@@ -161,12 +170,15 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
 
 
 def _mapped(src: DataFrame, shared, schema: str, key: str, item_key: str) -> DataFrame:
+    token = uuid.uuid4().hex
+
     def run(batches):
         import pyarrow as pa
 
-        index = _indexes.get(id(shared.value))
-        if index is None:
-            index = _indexes[id(shared.value)] = Index(shared.value)
+        if token not in _indexes:
+            _indexes.clear()
+            _indexes[token] = Index(shared.value)
+        index = _indexes[token]
         for batch in batches:
             ks, ts = batch.column(0), batch.column(1).to_pylist()
             rows, found = [], []

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from partsloom.session import broadcast_if_small, cut_lineage
+from partsloom.session import broadcast_if_small, cut_lineage, fresh_names
 
 #: A phrase at most this often itself, against longer phrases that begin with it, is a cut one.
 #: Masked phrases are common, so their share must be smaller.
@@ -35,7 +35,7 @@ RATIO, MASKED_RATIO = 0.03, 0.01
 DENSE = 64
 
 _TAIL = r"[\s.…\uFFFD]+$"
-_SPLIT = r"[,;()]+|(?<!\b[Nn][Oo])\.\s+"
+_SPLIT = r"[,;()]+|(?<!\b[Nn][Oo])\.[\s ]+"
 _NOISE = r'[^\p{L}\p{N}"]+'
 _DANGLING = r"[,;/&(]$"
 
@@ -102,12 +102,12 @@ def truncated(df: DataFrame, value: str = "description", ratio: float = RATIO, m
     cut = cut_lineage(cut_phrases(src, value, ratio, masked_ratio))
     plain = cut.where(~F.col("phrase").startswith("#"))
     masked = cut.where(F.col("phrase").startswith("#"))
-    keep = df.columns
-    rows = src.withColumn("_p", F.try_element_at(phrases(F.col(value)), F.lit(-1))).where(F.col("_p").isNotNull())
-    rows = rows.withColumn("_m", F.when(F.col("_p").rlike(r"\p{N}"), F.concat(F.lit("#"), _masked(F.col("_p")))))
-    rows = rows.join(broadcast_if_small(plain.select(F.col("phrase").alias("_p"), F.lit(True).alias("_c1"))), "_p", "left")
-    rows = rows.join(broadcast_if_small(masked.select(F.col("phrase").alias("_m"), F.lit(True).alias("_c2"))), "_m", "left")
-    return rows.where(F.col("_c1").isNotNull() | F.col("_c2").isNotNull() | dangling(F.col(value))).select(*keep)
+    p, m, c1, c2 = fresh_names(df, "_phrase", "_masked", "_cut", "_cut_masked")
+    rows = src.withColumn(p, F.try_element_at(phrases(F.col(value)), F.lit(-1))).where(F.col(p).isNotNull())
+    rows = rows.withColumn(m, F.when(F.col(p).rlike(r"\p{N}"), F.concat(F.lit("#"), _masked(F.col(p)))))
+    rows = rows.join(broadcast_if_small(plain.select(F.col("phrase").alias(p), F.lit(True).alias(c1))), p, "left")
+    rows = rows.join(broadcast_if_small(masked.select(F.col("phrase").alias(m), F.lit(True).alias(c2))), m, "left")
+    return rows.where(F.col(c1).isNotNull() | F.col(c2).isNotNull() | dangling(F.col(value))).select(*df.columns)
 
 
 def truncation_rates(df: DataFrame, value: str = "description", source: str = "source") -> DataFrame:
