@@ -7,8 +7,8 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows up to which a lookup table of short rows may be broadcast (a few MB).
-BROADCAST_ROWS = 50_000
+#: Rows and bytes (as JSON) up to which a lookup table may be broadcast.
+BROADCAST_ROWS, BROADCAST_BYTES = 50_000, 16_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,11 +30,24 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only when `df` has been counted to be within `max_rows`.
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only when `df` has been measured to be within `max_rows` and `max_bytes`.
 
-    `df` should be cheap to count (a checkpoint). Above the bound no hint is given, and
+    `df` should be cheap to read (a checkpoint). Above the bounds no hint is given, and
     the join that follows shuffles both sides under adaptive execution.
     """
-    few = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if few else df
+    size = F.sum(F.length(F.to_json(F.struct("*"))))
+    rows, width = df.agg(F.count("*"), size).first()
+    return F.broadcast(df) if rows <= max_rows and (width or 0) <= max_bytes else df
+
+
+def fresh_names(df: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns that `df` doesn't use."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
