@@ -12,7 +12,8 @@ it the rule table is joined by a shuffle on the skeleton under adaptive skew han
 A code is the text inside a pair of quotes (`""` inside double quotes is one `"`), or a
 longest run of A-Z, 0-9 and hyphens without the hyphens at its ends. The label `UOC:` in any
 case, lower-case letters and everything else outside quotes only separate. An unpaired quote
-separates; empty quotes hold no code. Null and empty fields give no rows.
+separates; where only doubled quotes are left to close a field, the last of them closes it;
+empty quotes hold no code. Null and empty fields give no rows.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ _QUOTE_CLASS = "\"'“”‘’„«»"
 
 LABEL = r"(?<![A-Za-z0-9])[Uu][Oo][Cc]:"
 RUN = r"[A-Z0-9\-]*[A-Z0-9][A-Z0-9\-]*"
-TOKEN = rf"{LABEL}|{RUN}|-+|[{_QUOTE_CLASS}]|(?:(?!{LABEL})[^A-Z0-9\-{_QUOTE_CLASS}])+"
+TOKEN = rf"{LABEL}|(?:(?!{LABEL})[A-Z0-9\-])+|[{_QUOTE_CLASS}]|(?:(?!{LABEL})[^A-Z0-9\-{_QUOTE_CLASS}])+"
 
 
 def skeleton(field: Column) -> Column:
@@ -47,14 +48,16 @@ def resolve(skel: str) -> list[tuple[int, int, str]]:
         c = skel[i]
         closing = QUOTES.get(c)
         if closing:
-            j = i + 1
+            j, doubled = i + 1, n
             while j < n:
                 if skel[j] in closing:
                     if c == '"' and skel.startswith('""', j):
-                        j += 2
+                        doubled, j = j, j + 2
                         continue
                     break
                 j += 1
+            if j >= n:
+                j = doubled  # never closed after a doubled quote: its first half closes
             if j < n:
                 if j > i + 1:
                     out.append((i + 2, j - i - 1, c))
@@ -88,10 +91,11 @@ def explode_codes(df: DataFrame, key: str = "row_id", column: str = "uoc", least
     tokens = F.regexp_extract_all("_v", F.lit(TOKEN), 0)
 
     def cut(toks: Column, r: Column) -> Column:
+        plain = F.regexp_replace(F.get(toks, r["at"] - 1), "^-+|-+$", "")
         text = F.array_join(F.slice(toks, r["at"], r["n"]), "")
-        plain = F.regexp_replace(text, "^-+|-+$", "")
         return F.when(r["quote"] == "", plain).when(r["quote"] == '"', F.replace(text, F.lit('""'), F.lit('"'))).otherwise(text)
 
-    out = src.join(rules, "skel").select("_k", tokens.alias("_t"), "rule")
-    out = out.select("_k", F.transform("rule", lambda r: cut(F.col("_t"), r)).alias("codes"))
+    # Bound by a lambda, so that a field is cut into tokens once and not once a code.
+    codes = F.transform(F.array(tokens), lambda t: F.transform("rule", lambda r: cut(t, r)))[0]
+    out = src.join(rules, "skel").select("_k", codes.alias("codes"))
     return out.select(F.col("_k").alias(key), F.posexplode("codes").alias("pos", "code")).withColumn("pos", F.col("pos") + 1)

@@ -20,7 +20,7 @@ def brute(text):
                     out.append(m[1].replace('""', '"') if c == '"' else m[1])
                 i = m.end()
                 continue
-        m = re.compile(r"[A-Z0-9-]+").match(text, i)
+        m = re.compile(r"(?:(?!(?<![A-Za-z0-9])(?i:uoc:))[A-Z0-9-])+").match(text, i)
         if m:
             if m[0].strip("-"):
                 out.append(m[0].strip("-"))
