@@ -22,6 +22,7 @@ one text don't overlap; the same value twice gives two spans.
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -55,7 +56,7 @@ ADDRESSES = (
     re.compile(rf"(?<!\w)\d{{1,4}}(?:\s?(?:bis|ter|quater))?,?\s+{_FR_STREET}\s+(?:de\s+la|du|des|de\s+l['’]|de|d['’]|la|le|les)\s*{_L}+(?:\s+{_L}+){{0,2}}(?=\s*[.,;:!\n]|\s*$)", re.I),
     re.compile(rf"(?<!\w){_ES_STREET}\s*(?:{_L}[\w'’\-]*\s+){{0,4}}?{_L}[\w'’\-]*(?:,)?\s+(?:n\.?\s?[º°o]\s*)?\d{{1,4}}(?!\w)(?:,\s*(?:bajo|ático|entresuelo|\d{{1,2}}\.?[º°](?:\s*[A-Z](?!\w))?))?", re.I),
     re.compile(rf"(?<!\w)(?:{_UNIT}\s+\d+[a-z]?,\s*)?\d{{1,4}}[a-z]?\s+(?:{_L}[\w'’\-]*\s+){{1,3}}?{_EN_STREET}(?!\w)(?:,\s*{_UNIT}\s+\d+[a-z]?(?!\w))?", re.I),
-    re.compile(rf"(?<!\w)(?:{_L}[\w\-]*{_DE_STREET}|{_L}[\w\-]*\s+(?:Straße|Str\.|Weg|Gasse|Platz|Allee))\s+\d{{1,4}}\s?[a-z]?(?!\w)", re.I),
+    re.compile(rf"(?<!\w)(?:{_L}[\w\-]{{0,60}}?{_DE_STREET}|{_L}[\w\-]{{0,60}}\s+(?:Straße|Str\.|Weg|Gasse|Platz|Allee))\s+\d{{1,4}}\s?[a-z]?(?!\w)", re.I),
     re.compile(r"[㐀-鿿々ヶケ]{2,5}(?<!\d)\d{1,2}-\d{1,2}(?:-\d{1,3})?(?![\d\-])"),
 )
 ID_SHAPES = tuple(
@@ -79,7 +80,7 @@ _AFTER_M = {"du", "de", "des", "a", "est", "ne", "qui", "au"}
 
 NUMBER = re.compile(
     rf"{_B}(?:\d{{8}}[ \-]?[A-Z]{_E}"
-    rf"|(?=[A-Z0-9\-]*[A-Z])(?=(?:[A-Z\-]*\d){{6}})[A-Z0-9]+(?:-[A-Z0-9]+)*{_E}"
+    rf"|(?=[A-Z0-9])(?=[A-Z0-9\-]{{0,40}}[A-Z])(?=(?:[A-Z\-]{{0,40}}\d){{6}})[A-Z0-9]+(?:-[A-Z0-9]+)*{_E}"
     rf"|(?<![+(])[+(]{{0,2}}\d+(?:\)?[  .\-/]?\(?\d+)*{_E})",
     re.I,
 )
@@ -109,12 +110,15 @@ class Page:
 
         def take(found, kind):
             nonlocal free
-            for m in found:
-                a, b = m.span()
-                if "\x00" not in free[a:b]:
-                    spans.append((a, b, kind))
-            for a, b, _ in spans:
-                free = free[:a] + "\x00" * (b - a) + free[b:]
+            new = [m.span() for m in found if "\x00" not in m.group()]
+            if not new:
+                return
+            spans.extend((a, b, kind) for a, b in new)
+            parts, at = [], 0
+            for a, b in new:
+                parts += [free[at:a], "\x00" * (b - a)]
+                at = b
+            free = "".join([*parts, free[at:]])
 
         if "@" in text or "＠" in text or re.search(r"[\[({ ](?:at|arroba)[\])} ]", text, re.I):
             take(EMAIL.finditer(free), "email")
@@ -126,6 +130,7 @@ class Page:
         self.tokens: list[str] = []  # lower case; entities as <e> <a> <n>, ends of sentences as <b>
         self.at: list[tuple[int, int]] = []
         self.entity: list[int] = []
+        self.is_word: list[bool] = []
         pos = 0
         for k, (a, b, kind) in enumerate(self.spans):
             self._cut(pos, a)
@@ -137,13 +142,30 @@ class Page:
         self.tokens.append(token)
         self.at.append((a, b))
         self.entity.append(k)
+        self.is_word.append(False)
 
     def _cut(self, a: int, b: int):
-        for m in _TOKEN.finditer(self.text, a, b):
-            t = m.group()
-            spaced = t in "-–—" and self.text[m.start() - 1 : m.start()].isspace() and not self.text[m.end() : m.end() + 1].strip()
-            kind = "<b>" if t in _STOP or t[0] == "\n" or spaced else "0" if t[0].isdigit() else t.lower()
-            self._add(kind, *m.span())
+        text, tokens, at, is_word = self.text, self.tokens, self.at, self.is_word
+        before = len(tokens)
+        for m in _TOKEN.finditer(text, a, b):
+            t, span = m.group(), m.span()
+            c = t[0]
+            word = False
+            if c.isalpha():
+                kind = t.lower()
+                word = len(t) > 1 and not "\u3040" <= c <= "\u9fff"
+            elif c.isdigit():
+                kind = "0"
+            elif c in _STOP or c == "\n":
+                kind = "<b>"
+            elif c in "-–—" and text[span[0] - 1 : span[0]].isspace() and not text[span[1] : span[1] + 1].strip():
+                kind = "<b>"
+            else:
+                kind = t
+            tokens.append(kind)
+            at.append(span)
+            is_word.append(word)
+        self.entity += [-1] * (len(tokens) - before)
 
     def left(self, i: int, n: int) -> str:
         got = self.tokens[max(0, i - n) : i]
@@ -163,10 +185,10 @@ class Page:
     # -- names: tokens i..j-1 that have the make-up of a full name
 
     def _word(self, i: int) -> bool:
-        return i < len(self.tokens) and self.entity[i] < 0 and len(self.tokens[i]) > 1 and _WORD.fullmatch(self.raw(i)) is not None and not ("぀" <= self.raw(i)[0] <= "鿿")
+        return i < len(self.is_word) and self.is_word[i]
 
     def _initial(self, i: int) -> bool:
-        return i + 1 < len(self.tokens) and len(self.tokens[i]) == 1 and self.tokens[i].isalpha() and self.raw(i + 1) == "." and self.at[i][1] == self.at[i + 1][0]
+        return i + 1 < len(self.tokens) and not self.is_word[i] and len(self.tokens[i]) == 1 and self.tokens[i].isalpha() and self.raw(i + 1) == "." and self.at[i][1] == self.at[i + 1][0]
 
     def raw(self, i: int) -> str:
         return self.text[self.at[i][0] : self.at[i][1]]
@@ -230,6 +252,8 @@ def candidates(text: str) -> list[tuple[str, str, str | None, list[str], list[st
             value = text[page.spans[k][0] : page.spans[k][1]]
             out.append(("number", value, label_of(value), page.number_keys(i), []))
     for i in range(len(page.tokens)):
+        if page.entity[i] >= 0 or not text[page.at[i][0]].isupper():
+            continue
         for j in page.names_from(i):
             if page.titled(i, j):
                 seed = "name" if page.block(j) and page.begins(i, j) else None
@@ -329,6 +353,15 @@ class Finder:
     def __init__(self, patterns: list[tuple[str, str, float]]):
         self.number = {k: (t, s) for k, t, s in patterns if t != "name"}
         self.name = {k: s for k, t, s in patterns if t == "name" and tells(k)}
+        # Tokens next to a name in some pattern: other places need no look at the patterns.
+        self.after, self.around = set(), set()
+        for k in self.name:
+            kind, _, rest = k.partition(" ")
+            left, _, right = rest.rpartition(" | ")
+            if kind == "R":
+                self.after.add(rest.split(" ")[0])
+            else:
+                self.around.add((left.split(" ")[-1], right.split(" ")[0]))
 
     def type_of(self, page: Page, i: int, value: str) -> str:
         shape = label_of(value)
@@ -357,6 +390,10 @@ class Finder:
             if page.entity[i] >= 0:
                 continue
             for j in page.names_from(i):
+                after = page.tokens[j] if j < len(page.tokens) else "<b>"
+                before = page.tokens[i - 1] if i else "<b>"
+                if after not in self.after and (before, after) not in self.around and after not in "/,":
+                    continue
                 keys = page.name_keys(i, j)
                 score = sum(self.name.get(k, 0.0) for k in keys)
                 block = page.block(j)
@@ -372,7 +409,7 @@ class Finder:
                 if page.tokens[i] == "m" and page._initial(i) and page.right(j, 1) in _AFTER_M:
                     a = i + 2
                 chosen.append((score + 4 * cased + 2 * known_left + (page.left(i, 1) in ("<b>", ":")) + 0.01 * (j - i), a, b))
-            if page._word(i) and self._addressed(page, i):
+            if page.is_word[i] and self._addressed(page, i):
                 chosen.append((9.0, i, page._joined(i)))
         used: list[tuple[int, int]] = []
         for _, i, j in sorted(chosen, key=lambda c: (-c[0], c[1])):
@@ -413,29 +450,30 @@ def learned_patterns(df: DataFrame, text: str = "text", rounds: int = ROUNDS) ->
 def _finder(df: DataFrame, text: str, rounds: int):
     # Bounded by MIN_SHARE: each candidate supports three patterns.
     rows = learned_patterns(df, text, rounds).collect()
-    return df.sparkSession.sparkContext.broadcast([tuple(r) for r in rows])
+    return uuid.uuid4().hex, df.sparkSession.sparkContext.broadcast([tuple(r) for r in rows])
 
 
-_finders: dict[int, Finder] = {}
+#: The finder a worker holds, by the token of its patterns.
+_finders: dict[str, Finder] = {}
 
 
-def _loaded(shared) -> Finder:
-    key = id(shared.value)
-    if key not in _finders:
-        _finders[key] = Finder(shared.value)
-    return _finders[key]
+def _loaded(token: str, patterns) -> Finder:
+    if token not in _finders:
+        _finders.clear()
+        _finders[token] = Finder(patterns.value)
+    return _finders[token]
 
 
 def personal_spans(df: DataFrame, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """(key, pii_type, start_pos, end_pos) in code points, end exclusive."""
-    shared = _finder(df, text, rounds)
+    token, patterns = _finder(df, text, rounds)
     src = df.select(F.col(key).alias("k"), F.col(text).alias("t")).where(F.col("t").isNotNull() & (F.trim("t") != ""))
     kind = src.schema["k"].dataType.simpleString()
 
     def run(batches):
         import pyarrow as pa
 
-        finder = _loaded(shared)
+        finder = _loaded(token, patterns)
         for batch in batches:
             rows = [(n, *s) for n, t in enumerate(batch.column(1).to_pylist()) for s in finder.find(t)]
             n, types, starts, ends = list(zip(*rows)) or [()] * 4
@@ -460,14 +498,14 @@ def placeholder_text(text: str | None, spans: list[tuple[str, int, int]]) -> str
 
 def redacted(df: DataFrame, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """(key, text): every text with its personal data replaced by typed placeholders."""
-    shared = _finder(df, text, rounds)
+    token, patterns = _finder(df, text, rounds)
     src = df.select(F.col(key).alias("k"), F.col(text).alias("t"))
     kind = src.schema["k"].dataType.simpleString()
 
     def run(batches):
         import pyarrow as pa
 
-        finder = _loaded(shared)
+        finder = _loaded(token, patterns)
         for batch in batches:
             texts = [placeholder_text(t, finder.find(t)) if t and t.strip() else t for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=[key, "text"])
