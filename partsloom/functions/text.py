@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,6 +33,11 @@ HEADER_SYNONYMS = {
 }
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body(value)` with `value` evaluated once, however often `body` uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def strip(text: Column) -> Column:
     """Unicode-aware trim; null stays null."""
     return F.regexp_replace(text, STRIP, "")
@@ -43,8 +50,8 @@ def clean_text(text: Column) -> Column:
 
 def split_lines(text: Column) -> Column:
     """Lines without their breaks; a final break opens no line, an empty text has none."""
-    lines = F.split(text, LINE_BREAK, -1)
-    return F.when(F.element_at(lines, -1) == "", F.slice(lines, 1, F.size(lines) - 1)).otherwise(lines)
+    cut = lambda x: F.when(F.element_at(x, -1) == "", F.slice(x, 1, F.size(x) - 1)).otherwise(x)
+    return let(F.split(text, LINE_BREAK, -1), cut)
 
 
 def caption_number(text: Column, mode: str = "lenient") -> Column:
@@ -59,10 +66,10 @@ def null_if_na(value: Column) -> Column:
 
 def strip_fences(raw: Column) -> Column:
     """Without one code-fence line at the start and one at the end."""
-    lines = split_lines(strip(raw))
-    head = F.when(F.get(lines, F.lit(0)).startswith(FENCE), F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0)))).otherwise(lines)
-    tail = F.when((F.size(head) > 0) & F.try_element_at(head, F.lit(-1)).startswith(FENCE), F.slice(head, 1, F.greatest(F.size(head) - 1, F.lit(0)))).otherwise(head)
-    return F.array_join(tail, "\n")
+    less = lambda x: F.greatest(F.size(x) - 1, F.lit(0))
+    head = lambda x: F.when(F.get(x, F.lit(0)).startswith(FENCE), F.slice(x, F.lit(2), less(x))).otherwise(x)
+    tail = lambda x: F.when(F.try_element_at(x, F.lit(-1)).startswith(FENCE), F.slice(x, F.lit(1), less(x))).otherwise(x)
+    return F.array_join(let(let(split_lines(strip(raw)), head), tail), "\n")
 
 
 def fix_numeric_o(text: Column) -> Column:
@@ -76,21 +83,23 @@ def clean_uoc(field: Column) -> Column:
 
 def enforce_rows(text: Column) -> Column:
     """Lines with tabs below exactly one header line; rows without item and part number dropped."""
-    lines = F.filter(split_lines(strip(text)), lambda x: x.contains("\t"))
-    body = F.when(strip(F.get(lines, F.lit(0))) == HEADER, F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0)))).otherwise(lines)
-    first = F.when(strip(F.get(lines, F.lit(0))) == HEADER, F.get(lines, F.lit(0))).otherwise(F.lit(HEADER))
 
-    def row(line: Column) -> Column:
-        fields = F.split(line, "\t", -1)
-        fixed = F.transform(fields, lambda f, i: F.when(i == 3, clean_uoc(f)).otherwise(f))
-        return F.array_join(fixed, "\t")
+    def row(fields: Column) -> Column:
+        return F.array_join(F.transform(fields, lambda f, i: F.when(i == 3, clean_uoc(f)).otherwise(f)), "\t")
 
-    def keyed(line: Column) -> Column:
-        fields = F.split(line, "\t", -1)
+    def keyed(fields: Column) -> Column:
         return (strip(F.get(fields, F.lit(0))) != "") | (strip(F.get(fields, F.lit(1))) != "")
 
-    rows = F.transform(F.filter(body, keyed), row)
-    return F.when(F.size(lines) == 0, F.lit(HEADER)).otherwise(F.array_join(F.concat(F.array(first), rows), "\n"))
+    def table(lines: Column) -> Column:
+        headed = F.when(strip(F.get(lines, F.lit(0))) == HEADER, lines).otherwise(F.concat(F.array(F.lit(HEADER)), lines))
+        return F.when(F.size(lines) == 0, F.lit(HEADER)).otherwise(let(headed, body))
+
+    def body(lines: Column) -> Column:
+        fields = F.transform(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))), lambda x: F.split(x, "\t", -1))
+        rows = F.transform(F.filter(fields, keyed), row)
+        return F.array_join(F.concat(F.slice(lines, 1, 1), rows), "\n")
+
+    return let(F.filter(split_lines(strip(text)), lambda x: x.contains("\t")), table)
 
 
 def sanitize(raw: Column) -> Column:

@@ -25,6 +25,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from partsloom.functions.text import let
+
 KEYS = ("pdf_id", "element_id")
 
 
@@ -32,11 +34,6 @@ def _get(v: Column, path: str, kind: str = "variant") -> Column:
     return F.try_variant_get(v, path, kind)
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """`body(value)` with `value` evaluated once, however often `body` uses it."""
-    return F.transform(F.array(value), body)[0]
-
-
 def _absent(v: Column) -> Column:
     return v.isNull() | F.is_variant_null(v)
 
