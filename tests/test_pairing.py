@@ -1,4 +1,7 @@
 import random
+from bisect import bisect
+from collections import Counter
+from itertools import groupby
 
 from partsloom.operators import pairing as P
 from partsloom.operators.elements import classify, elements_of
@@ -16,32 +19,30 @@ def document(rng, n):
     return out
 
 
-def fold(rows):
-    """The sequential rule: (pairs in order, sheet numbers)."""
-    result, counts, group, pages, sheets = {}, {}, [], [], []
-
-    def flush():
-        for s, (num, page, text) in enumerate(group, 1):
-            key = str(num) if len(group) == 1 else f"{num}_{s}"
-            result[key] = ([page] if page is not None else [], [text], list(pages))
-
-    current = None
+def model(rows):
+    """(pairs in order, sheet numbers), by cutting the list of captions into runs of one number."""
+    captions = [(i, int(text[7]), page, text) for i, _, _, page, text in rows if text and text.startswith("Figure")]
+    runs = [list(g) for _, g in groupby(captions, key=lambda c: c[1])]
+    starts = [run[0][0] for run in runs]
+    tables = [{} for _ in runs]
     for i, kind, _, page, text in rows:
-        if text and text.startswith("Figure"):
-            num = int(text[7])
-            counts[num] = counts.get(num, 0) + 1
-            sheets.append((i, num, counts[num]))
-            if num != current:
-                flush()
-                group, pages, current = [], [], num
-            group.append((num, page, text))
-        elif kind == "Table" and current is not None and page is not None and page not in pages:
-            pages.append(page)
-    flush()
-    return result, sheets
-
-
-def test_against_a_sequential_fold(spark):
+        at = bisect(starts, i) - 1
+        if kind == "Table" and text in (None, "t") and page is not None and at >= 0:
+            tables[at].setdefault(page)
+    pairs = {
+        f"{num}_{s}" if len(run) > 1 else str(num): ([page] if page is not None else [], [text], list(pages))
+        for run, pages in zip(runs, tables)
+        for s, (_, num, page, text) in enumerate(run, 1)
+    }
+    seen = Counter()
+    numbers = []
+    for i, num, *_ in captions:
+        seen[num] += 1
+        numbers.append((i, num, seen[num]))
+    return pairs, numbers
+
+
+def test_against_runs_of_captions(spark):
     rng = random.Random(11)
     docs = {f"d{k}": document(rng, rng.randrange(0, 40)) for k in range(60)}
     rows = [(d, *e) for d, es in docs.items() for e in es]
@@ -54,7 +55,7 @@ def test_against_a_sequential_fold(spark):
         for r in P.sheets(c, chunk).orderBy("element_index").collect():
             sheets.setdefault(r.pdf_id, []).append((r.element_index, r.figure_number, r.sheet_index))
         for d, es in docs.items():
-            want, numbers = fold(es)
+            want, numbers = model(es)
             assert got.get(d, {}) == want
             assert list(got.get(d, {})) == list(want)
             assert sheets.get(d, []) == numbers

@@ -1,5 +1,3 @@
-import re
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -24,34 +22,38 @@ def test_strip_and_lines_agree_with_python(spark):
     assert run(spark, texts, X.split_lines) == [t.splitlines() for t in texts]
 
 
-def python_sanitize(text):
-    lines = text.strip().splitlines()
-    lines = lines[1:] if lines and lines[0].startswith("```") else lines
-    lines = lines[:-1] if lines and lines[-1].startswith("```") else lines
-    joined = re.sub(r"(?<=[0-9.])O(?=[0-9.])", "0", "\n".join(lines))
-    rows = [x for x in joined.strip().splitlines() if "\t" in x]
-    if not rows:
-        return HEADER
-    if rows[0].strip() != HEADER:
-        rows.insert(0, HEADER)
-    out = [rows[0]]
-    for row in rows[1:]:
-        f = row.split("\t")
-        if f[0].strip() or f[1].strip():
-            if len(f) > 3:
-                f[3] = re.sub(r"(?i)^UOC:\s*", "", f[3].strip())
-            out.append("\t".join(f))
-    return "\n".join(out)
+SANITIZED = [
+    ("", []),
+    ("No parts list here", []),
+    ("```", []),
+    ("```\n```", []),
+    ("```tsv\n1\tP1\tBOLT\tUOC: AB\t2\n```", ["1\tP1\tBOLT\tAB\t2"]),
+    (HEADER + "\n\t\torphan\t\t1\n2\t\tNUT\t\t4", ["2\t\tNUT\t\t4"]),
+    ("1\t1O2\t1OO2\t\t", ["1\t102\t1OO2"]),  # the outer trim takes the last tabs
+    ("prose\n" + HEADER + "\nmore prose\n1\tP\r\n2\tQ\n", ["1\tP", "2\tQ"]),
+    ("Item\tPart\n1\tP", ["Item\tPart", "1\tP"]),  # another header is data
+    (HEADER + "\n" + HEADER, [HEADER]),
+    ("a\tb\tc\t uoc:\xa0D \te\tf\x0b3\tP\tD\tE", ["a\tb\tc\tD\te\tf", "3\tP\tD\tE"]),
+    ("x\ty\n \t \tz", ["x\ty"]),
+    ("\t\tfirst line loses its tabs\n1\tP", ["1\tP"]),
+    ("```\n```\n1\tP\n```\n```", ["1\tP"]),  # one fence a side; the others hold no tab
+]
 
 
 def test_sanitizer(spark):
+    got = run(spark, [raw for raw, _ in SANITIZED], X.sanitize)
+    assert got == ["\n".join([HEADER, *rows]) for _, rows in SANITIZED]
+
+
+def test_sanitized_text_stays_as_it_is(spark):
     import random
 
     rng = random.Random(2)
-    bits = ["```tsv\n", "```\n", HEADER + "\n", "1\tP\tD\tUOC: A\t2\n", "\t\torphan\t\t1\n", " \t\tx\n", "prose\n", "1O2\t1OO2\n", "2\t\tN\t uoc:B\t4\r\n", "\n", " ", "\t", "\x0b", "a\tb\tc\td\te\tf\n"]
-    texts = ["", "No parts list here", "```", "```\n```"] + ["".join(rng.choice(bits) for _ in range(rng.randrange(8))) for _ in range(600)]
-    for got, t in zip(run(spark, texts, X.sanitize), texts):
-        assert got == python_sanitize(t), repr(t)
+    bits = ["```tsv\n", HEADER + "\n", "1\tP\tD\tUOC: A\t2\n", "\t\torphan\t\t1\n", "prose\n", "1O2\t1OO2\n", "2\tQ\tN\t uoc:B\t4\r\n", "\n", "\x0b", "a\tb\tc\td\te\tf\n"]
+    raw = ["".join(rng.choice(bits) for _ in range(rng.randrange(8))) + "z\tz" for _ in range(300)]
+    once = run(spark, raw, X.sanitize)
+    assert run(spark, once, X.sanitize) == once
+    assert all(t.startswith(HEADER + "\n") and all("\t" in x for x in t.split("\n")) for t in once)
 
 
 def test_relativize(spark):
