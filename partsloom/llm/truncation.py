@@ -3,12 +3,18 @@
 A value that was cut ends in a phrase that is a strict prefix of longer phrases elsewhere
 and hardly ever stands for itself. Every value is split into phrases at commas, semicolons,
 parentheses and sentence ends; phrases are folded to letters, digits and the inch mark, so
-spacing, case and odd punctuation drop out. The distinct phrases are counted over the whole
-column, every fixed-length prefix of every distinct phrase is hashed and its weight summed,
-and the sums are joined with the phrases themselves: `n` rows hold the phrase as it is, `ext`
-rows hold a longer phrase that starts with it. A last phrase is cut when `n` is at most
-`RATIO` of `ext`. Phrases with digits are tested a second time with every digit masked, so
-that a size cut before its unit is found though the size itself is rare.
+spacing, case and odd punctuation drop out; word boundaries are kept beside them. Distinct
+values (by folded words) are counted, not rows, so copies of a row weigh nothing. Every
+fixed-length prefix of every distinct phrase is hashed and its weight summed, and the sums
+are joined with the phrases themselves: `n` values hold the phrase as it is, `ext` values
+hold a longer phrase that starts with it, `mid` of these go on inside a word.
+
+A last phrase that ends between two letters of a word of longer copies is cut whatever its
+count, unless it is seen as a whole where a value goes on (more than `RATIO` of `mid`), or its
+last word is and the longer copies are fewer. Any last phrase is cut when `n` is at most
+`RATIO` of `ext`; that is the only test where the phrase ends at a word boundary. Phrases
+with digits are tested a second time with every digit masked, so that a size cut before its
+unit is found though the size itself is rare.
 
 A value is cut, too, when it stops at a comma, semicolon, slash, ampersand or opening
 parenthesis, or inside a parenthesis that others close.
@@ -44,10 +50,19 @@ def _trimmed(value: Column) -> Column:
     return F.regexp_replace(value, _TAIL, "")
 
 
+def _spaced(value: Column) -> Column:
+    """The folded phrases of a value, in order, without empty ones, their words parted by single spaces."""
+    fold = lambda p: F.trim(F.regexp_replace(F.lower(p), _NOISE, " "))
+    return F.filter(F.transform(F.split(_trimmed(value), _SPLIT), fold), lambda p: p != "")
+
+
+def _joined(words: Column) -> Column:
+    return F.replace(words, F.lit(" "), F.lit(""))
+
+
 def phrases(value: Column) -> Column:
     """The folded phrases of a value, in order, without empty ones."""
-    fold = lambda p: F.regexp_replace(F.lower(p), _NOISE, "")
-    return F.filter(F.transform(F.split(_trimmed(value), _SPLIT), fold), lambda p: p != "")
+    return F.transform(_spaced(value), _joined)
 
 
 def _masked(phrase: Column) -> Column:
@@ -62,13 +77,16 @@ def dangling(value: Column) -> Column:
 
 
 def phrase_weights(df: DataFrame, value: str) -> DataFrame:
-    """(phrase, n, last): every distinct phrase and masked phrase (with a leading `#`), and whether a value ends in it."""
-    ps = df.select(phrases(F.col(value)).alias("ps"))
-    tagged = F.transform("ps", lambda p, i: F.struct(p.alias("phrase"), (i == F.size("ps") - 1).alias("last")))
-    plain = ps.select(F.explode(tagged).alias("p")).select("p.*").groupBy("phrase").agg(F.count("*").alias("n"), F.max("last").alias("last"))
+    """(words, phrase, n, ends): every distinct phrase and masked phrase (with a leading `#`), in how many distinct values it
+    stands, and in how many of these at the end. `words` is the phrase with spaces between its words."""
+    values = df.select(F.array_join(_spaced(F.col(value)), ",").alias("v")).where("v <> ''").distinct()
+    ps = values.select(F.split("v", ",").alias("ps"))
+    tagged = F.transform("ps", lambda p, i: F.struct(p.alias("words"), (i == F.size("ps") - 1).alias("last")))
+    plain = ps.select(F.explode(tagged).alias("p")).select("p.*").groupBy("words").agg(F.count("*").alias("n"), F.count_if("last").alias("ends"))
     plain = cut_lineage(plain)
-    masked = plain.where(F.col("phrase").rlike(r"\p{N}")).groupBy(F.concat(F.lit("#"), _masked(F.col("phrase"))).alias("phrase"))
-    return cut_lineage(plain.unionByName(masked.agg(F.sum("n").alias("n"), F.max("last").alias("last"))))
+    masked = plain.where(F.col("words").rlike(r"\p{N}")).groupBy(F.concat(F.lit("#"), _masked(F.col("words"))).alias("words"))
+    both = plain.unionByName(masked.agg(F.sum("n").alias("n"), F.sum("ends").alias("ends")))
+    return cut_lineage(both.select("words", _joined(F.col("words")).alias("phrase"), "n", "ends"))
 
 
 def _prefix(phrase: Column, length: Column) -> Column:
@@ -77,23 +95,45 @@ def _prefix(phrase: Column, length: Column) -> Column:
 
 
 def prefix_self_join(weights: DataFrame) -> DataFrame:
-    """(phrase, n, ext) of the phrases in which a value ends and that begin longer phrases."""
+    """(phrase, tail, n, ends, ext, mid, stands) of the phrases in which a value ends and that begin longer phrases.
+
+    Of the `ext` longer copies, `mid` go on inside a word and `stands` after a whole word; `tail` is the last word.
+    """
     length = F.length("phrase")
-    long_ends = weights.where(F.col("last") & (length > DENSE)).select(length.alias("l")).distinct()
+    long_ends = weights.where((F.col("ends") > 0) & (length > DENSE)).select(length.alias("l")).distinct()
     far = sorted(r[0] for r in long_ends.collect())  # distinct lengths, not rows
     lengths = F.sequence(F.lit(1), F.least(length - 1, F.lit(DENSE)))
     if far:
         lengths = F.concat(lengths, F.filter(F.array(*map(F.lit, far)), lambda x: x < length))
-    parts = weights.where(length > 1).select("n", F.explode(lengths).alias("l"), "phrase")
-    ext = parts.groupBy(_prefix(F.col("phrase"), F.col("l")).alias("key")).agg(F.sum("n").alias("ext"))
-    ends = weights.where("last").select("phrase", "n", _prefix(F.col("phrase"), length).alias("key"))
-    return ends.join(ext, "key").select("phrase", "n", "ext")
+    edges = F.aggregate(F.split("words", " "), F.array(F.lit(0)), lambda a, w: F.concat(a, F.array(F.element_at(a, -1) + F.length(w))))
+    parts = weights.where(length > 1).select("phrase", "n", edges.alias("edges"), F.explode(lengths).alias("l"))
+    edge = F.array_contains(F.col("edges"), F.col("l"))
+    inside = ~edge & F.substring(F.col("phrase"), F.col("l"), F.lit(2)).rlike(r"^\p{L}{2}$")
+    ext = parts.groupBy(_prefix(F.col("phrase"), F.col("l")).alias("key")).agg(
+        F.sum("n").alias("ext"), F.sum(F.when(inside, F.col("n")).otherwise(0)).alias("mid"), F.sum(F.when(edge, F.col("n")).otherwise(0)).alias("stands")
+    )
+    tail = F.max(F.substring_index("words", " ", -1)).alias("tail")
+    ends = weights.groupBy("phrase").agg(tail, F.sum("n").alias("n"), F.sum("ends").alias("ends")).where("ends > 0")
+    return ends.withColumn("key", _prefix(F.col("phrase"), length)).join(ext, "key").drop("key")
+
+
+def standing_words(weights: DataFrame) -> DataFrame:
+    """(tail, known): in how many places a word stands where a value doesn't end."""
+    words = weights.select("n", "ends", F.split("words", " ").alias("ws")).select("n", "ends", F.size("ws").alias("k"), F.posexplode("ws").alias("i", "tail"))
+    inner = F.when(F.col("i") == F.col("k") - 1, F.col("n") - F.col("ends")).otherwise(F.col("n"))
+    return words.groupBy("tail").agg(F.sum(inner).alias("known")).where("known > 0")
 
 
 def cut_phrases(df: DataFrame, value: str, ratio: float = RATIO, masked_ratio: float = MASKED_RATIO) -> DataFrame:
     """Phrases (plain and masked) that end values only where these were cut."""
+    weights = phrase_weights(df, value)
+    found = prefix_self_join(weights).join(standing_words(weights), "tail", "left")
     bound = F.when(F.col("phrase").startswith("#"), masked_ratio).otherwise(ratio)
-    return prefix_self_join(phrase_weights(df, value)).where(F.col("n") <= F.col("ext") * bound).select("phrase")
+    rare = F.col("n") <= F.col("ext") * bound
+    noise = F.col("mid") * ratio
+    whole = F.col("n") - F.col("ends") + F.col("stands") > noise
+    word = (F.coalesce("known", F.lit(0)) > noise) & (F.col("ends") > F.col("mid"))
+    return found.where(rare | ((F.col("mid") > 0) & ~whole & ~word)).select("phrase")
 
 
 def truncated(df: DataFrame, value: str = "description", ratio: float = RATIO, masked_ratio: float = MASKED_RATIO) -> DataFrame:

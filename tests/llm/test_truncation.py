@@ -38,6 +38,23 @@ def test_long_values(spark):
     assert got == {99, 100}
 
 
+def test_frequent_cut_values(spark):
+    """Copies of a row don't hide that it was cut."""
+    cut = ["PIN, STAINLESS STE"] * 300 + ["PIN, STAINLESS"] * 300 + [f"{w}, STYLE MÉRI" for w in WORDS for _ in range(90)]
+    every = corpus() + ["BOLT, LEFT HAND"] * 300 + cut
+    df = spark.createDataFrame([(i, "s" if d in cut else "t", d, "", "", "") for i, d in enumerate(every)], SCHEMA)
+    assert sorted(r.description for r in T.truncated(df).collect()) == sorted(cut)
+    assert {r.source: r.n_cut for r in T.truncation_rates(df).collect()} == {"s": len(cut), "t": 0}
+
+
+def test_whole_words_that_begin_others(spark):
+    """A phrase seen where values go on is complete, though other words begin with it."""
+    every = [f"{a}, {b}, {c}" for a in ("CAP", "BOLT", "SEAL ASSY") for b in ("CAPTIVE", "LEFT HAND", "ZINC PLATED") for c in WORDS]
+    every += ["CAP", "BOLT", "BOLT, WITH SEALS"] + [f"BOLT, {w}, WITH SEAL" for w in WORDS]
+    df = spark.createDataFrame([(i, "s", d, "", "", "") for i, d in enumerate(every)], SCHEMA)
+    assert T.truncated(df).count() == 0
+
+
 def test_empty_table(spark):
     assert T.truncated(spark.createDataFrame([], SCHEMA)).count() == 0
     assert T.truncation_rates(spark.createDataFrame([], SCHEMA)).count() == 0
