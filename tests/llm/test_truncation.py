@@ -55,6 +55,15 @@ def test_whole_words_that_begin_others(spark):
     assert T.truncated(df).count() == 0
 
 
+def test_cut_values_of_a_rare_vocabulary(spark):
+    """One longer copy is enough where a phrase ends inside a word; the size of the corpus changes nothing."""
+    rare = ["YOKE, INSULATED, LEFT HAND", "CLEVIS, HYDRAULIC, 12 X 30 MM", "BEARING ASSY, M3 X 50, CADMIUM PLATED", "Relay. Lubricate the threads before fitting."]
+    cut = ["YOKE; INSULA", "CLEVIS, HYD", "BEARING ASSY, CADMI", "BEARING ASSY, CADMIUM PLA", "Relay. Lubricate the thre"]
+    for more in ([], corpus()):
+        df = spark.createDataFrame([(i, "s", d, "", "", "") for i, d in enumerate(rare + cut + more)], SCHEMA)
+        assert sorted(r.description for r in T.truncated(df).collect()) == sorted(cut)
+
+
 def test_empty_table(spark):
     assert T.truncated(spark.createDataFrame([], SCHEMA)).count() == 0
     assert T.truncation_rates(spark.createDataFrame([], SCHEMA)).count() == 0
