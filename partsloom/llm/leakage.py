@@ -33,7 +33,14 @@ from pyspark.sql import functions as F
 WORDS, PER, PIECE = 20, 5, 3
 BLOCK = 5_000
 
-_TAG = re.compile(r"<[/!a-zA-Z][^<>]{0,80}>")
+#: A tag is anything short; beyond 80 characters only what can't be prose after a stray `<`: an attribute with a value
+#: near the start, no white space at all, or a doctype. No part goes past the next `<`, so the search is linear.
+_TAG = re.compile(
+    r"<(?:[/!a-zA-Z][^<>]{0,80}"
+    r"|[a-zA-Z][\w:-]*+(?:\s++[\w:@.-]++){1,4}?\s*+=[^<>]*+"
+    r"|/?[a-zA-Z][!-;=?-~]*+"
+    r"|!(?i:doctype)\b[^<>]*+)>"
+)
 _BROKEN = re.compile(r"(?<=\w)-[ \t]*\r?\n[ \t]*(?=\w)")
 _WORD = re.compile(r"[^\W_]+")
 _ODD = re.compile(r"[^\x00-\x7f]")

@@ -52,6 +52,19 @@ def test_search_is_exact():
     assert hits > 100
 
 
+def test_tags_of_any_length():
+    passage = [f"w{i}" for i in range(24)]
+    index = L.Index([(1, " ".join(passage))])
+    url = "https://example.org/" + "/".join(f"part{i}" for i in range(40))
+    style = "; ".join(f"margin-{i}: {i}px" for i in range(40))
+    for tag in (f'<a href="{url}">', f'<input disabled title="a &quot;b&quot;" style="{style}">', f"<{url}>", f"<span\n class=x style = '{style}'>", f'<!DOCTYPE html PUBLIC "{url}">'):
+        assert L.words("a " + tag + " b") == ["a", "b"]
+        assert set(index.search(" ".join(passage[:12]) + tag + " ".join(passage[12:]))) == {1}
+    prose = " ".join(passage)
+    assert set(index.search(f"if a <b then {prose}\n> so")) == {1}
+    assert len(L.words("<a href=" * 100_000 + "<a b c " * 100_000)) == 500_000
+
+
 def test_layout_does_not_matter():
     passage = "Die müden Boten verließen die alten Gärten, weil ein schmaler Weg ohne ein Wort über die hellen Felder bis zum Ufer der fernen Quelle führte."
     index = L.Index([(1, passage)])
