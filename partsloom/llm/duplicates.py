@@ -2,13 +2,13 @@
 
 Code points are streamed through one skip-and-fold table into rolling polynomial hashes: the
 table skips what is neither letter nor digit, folds letter case and marks the piece
-delimiters, so no canonical string is made. A piece's hash is a polynomial in its kept
+delimiters, so no canonical string is made for the hashes. A piece's hash is a polynomial in its kept
 characters; a column's hash sums mixed piece hashes (piece order drops out); a row's key
 sums the mixed hashes of its two columns (which column holds which value drops out). Two
 independent 64-bit hashes make the key.
 
-Rows of one key are then held against the key's first row by a two-pointer comparison that
-skips and folds by the same table, run in lock step over a whole batch. A row that differs
+Rows of one key are then held against the key's first row: the kept, folded characters of
+both rows of every pair of a batch are sorted into one order and compared as arrays. A row that differs
 (a collision) is regrouped exactly, by its canonical text, so a collision never merges rows.
 
 Skew: the key table is pre-aggregated before its shuffle. Groups that hold more than a
@@ -113,7 +113,7 @@ def row_keys(parts: list[str], descriptions: list[str], bits: int = 64) -> tuple
 
 
 def _ordered(parts: list[str], descriptions: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(marks, kept characters a row): each row's pointer path, as it skips, folds and steps from piece to piece.
+    """(marks, kept characters a row): each row's kept characters, folded and sorted by column and piece.
 
     Columns and pieces are visited in the order of their hashes; a mark holds the folded
     character and whether a piece or a column starts there.
@@ -133,7 +133,7 @@ def _ordered(parts: list[str], descriptions: list[str]) -> tuple[np.ndarray, np.
 
 
 def same_rows(a: tuple[list[str], list[str]], b: tuple[list[str], list[str]]) -> np.ndarray:
-    """Whether rows `a` and `b` are copies, pair by pair: two pointers in lock step over all pairs."""
+    """Whether rows `a` and `b` are copies, pair by pair: the sorted characters of all pairs are compared at once."""
     (ma, na), (mb, nb) = _ordered(*a), _ordered(*b)
     same = na == nb
     sa, sb = np.cumsum(na) - na, np.cumsum(nb) - nb
