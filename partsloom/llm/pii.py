@@ -1,22 +1,26 @@
 """Problem 8: personal data in free text, found by bootstrapped contextual extraction.
 
-Seeds are entities whose shape alone tells their type: emails, numbers with an international
-prefix, numbers of the fixed shapes of documents and registers, addresses with a street word
-and a number, names in front of an address or a number in a contact block. Every candidate
-(seed or not) gives lexical patterns: the words to its left and right. Spark scores the
-graph of patterns and instances in rounds: a pattern's confidence is the share of its
-labelled instances that have its type; a confident pattern labels the instances it holds;
-these, in turn, score further patterns. The patterns that end confident are broadcast and
-applied to every text, where they discover identifiers no shape gives away: bare digit runs
-as phones or document numbers, names in any case and order.
-
-Only pattern counts are shuffled, after partial aggregation, so a hot pattern or source is
-one row a partition. A pattern needs support in `MIN_SHARE` of all candidates (and three
-instances), which bounds how many there can be and so what is broadcast; it means the same
-at every corpus size. Texts are mapped in place, whole.
+Candidates are proposed widely: runs of digits and of letters with digits, street-like pieces
+with a number, pairs and runs of words that have the make-up of a full name. Some are seeds,
+whose shape tells their type (a number with a country prefix, an address with a street word, a
+name in front of an address or a number). Every candidate has lexical patterns: its contexts
+(words to the left and right) and its spellings (the masked shape of a number, the words of a
+name or an address). Spark scores the graph of patterns and instances in rounds: spellings by
+the labels that contexts gave their instances, contexts by the labels that spellings gave. A
+pattern that is confident labels the instances it holds. What comes out is decided by learned
+patterns alone: without them only emails and numbers with a country prefix are found. The
+seeds' shapes are patterns like others, so contexts overrule them where they weigh more.
+
+Patterns are learned from all texts and applied to all texts, two narrow passes. The second
+looks for names in any case at places whose context may be a learned pattern: it asks a Bloom
+filter of fixed size, and the exact join with the pattern table follows in Spark. So
+nothing that grows with the corpus is broadcast, and no pattern is dropped for room. Shuffled
+are distinct instances, counts by pattern and the candidates of the second pass, not texts.
 
 Defined results: null, empty and blank texts give no spans and come out unchanged; spans of
-one text don't overlap; the same value twice gives two spans.
+one text don't overlap; the same value twice gives two spans; equal rows give equal spans each;
+a null or repeated key is carried through as it is. In a corpus where nothing is seen
+three times nothing is learned; give `patterns` learned elsewhere there.
 """
 
 from __future__ import annotations
@@ -24,20 +28,24 @@ from __future__ import annotations
 import re
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from partsloom.llm import tokens as K
 from partsloom.session import broadcast_if_small, cut_lineage
 
-MIN_SUPPORT, MIN_SHARE = 3, 1 / 50_000
-NUMBER_CONFIDENCE, NAME_CONFIDENCE = 0.9, 0.6
-WORD_SHARE = 0.1
+#: Support of a pattern; shares of its instances that must have its type.
+SUPPORT = 3
+NUMBER_CONFIDENCE, NAME_CONFIDENCE, ADDRESS_CONFIDENCE, WORD_SHARE, KNOWN_WORDS = 0.9, 0.6, 0.6, 0.1, 0.4
 ROUNDS = 3
+#: Code points handled at once, in whole texts.
+CHUNK = 200_000
+#: Bits of the filter for each pattern, and its largest size.
+FILTER_BITS, FILTER_MOST = 32, 1 << 28
 
 _L = r"[^\W\d_]"
-_B = r"(?<![A-Za-z0-9])"
 _E = r"(?![A-Za-z0-9])"
-_CJK = "぀-ヿ㐀-鿿々"
 
 # Shapes, street words, forms of address.
 EMAIL = re.compile(
@@ -52,12 +60,19 @@ _FR_STREET = r"(?:rue|avenue|impasse|chemin|allée|boulevard|quai|place|cours|ro
 _ES_STREET = r"(?:Calle|C/|Avenida|Avda\.?|Av\.|Pza\.?|P\.?º|Paseo|Plaza|Camino|Ronda|Carrera|Travesía)(?!\w)"
 _DE_STREET = r"(?:weg|gasse|straße|strasse|str\.|platz|allee|ufer|damm|ring|steig|pfad)"
 ADDRESSES = (
-    re.compile(rf"(?<!\w)\d{{1,4}}(?:\s?(?:bis|ter|quater))?,?\s+{_FR_STREET}\s+(?:(?:de\s+la|du|des|de\s+l['’]|de|d['’]|la|le|les)\s*)?(?:[A-ZÀ-Þ][\w'’\-]*)(?:\s+[A-ZÀ-Þ][\w'’\-]*){{0,3}}"),
+    re.compile(rf"(?<!\w)\d{{1,4}}(?:\s?(?:bis|ter|quater))?,?\s+{_FR_STREET}\s+(?:(?:de\s+la|du|des|de\s+l['’]|de|d['’]|la|le|les)\s*)?(?:[A-ZÀ-Þ][\w'’\-]*)(?:\s+[A-ZÀ-Þ][\w'’\-]*)*"),
     re.compile(rf"(?<!\w)\d{{1,4}}(?:\s?(?:bis|ter|quater))?,?\s+{_FR_STREET}\s+(?:de\s+la|du|des|de\s+l['’]|de|d['’]|la|le|les)\s*{_L}+(?:\s+{_L}+){{0,2}}(?=\s*[.,;:!\n]|\s*$)", re.I),
     re.compile(rf"(?<!\w){_ES_STREET}\s*(?:{_L}[\w'’\-]*\s+){{0,4}}?{_L}[\w'’\-]*(?:,)?\s+(?:n\.?\s?[º°o]\s*)?\d{{1,4}}(?!\w)(?:,\s*(?:bajo|ático|entresuelo|\d{{1,2}}\.?[º°](?:\s*[A-Z](?!\w))?))?", re.I),
     re.compile(rf"(?<!\w)(?:{_UNIT}\s+\d+[a-z]?,\s*)?\d{{1,4}}[a-z]?\s+(?:{_L}[\w'’\-]*\s+){{1,3}}?{_EN_STREET}(?!\w)(?:,\s*{_UNIT}\s+\d+[a-z]?(?!\w))?", re.I),
-    re.compile(rf"(?<!\w)(?:{_L}[\w\-]{{0,60}}?{_DE_STREET}|{_L}[\w\-]{{0,60}}\s+(?:Straße|Str\.|Weg|Gasse|Platz|Allee))\s+\d{{1,4}}\s?[a-z]?(?!\w)", re.I),
-    re.compile(r"[㐀-鿿々ヶケ]{2,5}(?<!\d)\d{1,2}-\d{1,2}(?:-\d{1,3})?(?![\d\-])"),
+    re.compile(rf"(?<![\w\-])(?:{_L}[\w\-]*?{_DE_STREET}|{_L}[\w\-]*+\s+(?:Straße|Str\.|Weg|Gasse|Platz|Allee))\s+\d{{1,4}}\s?[a-z]?(?!\w)", re.I),
+    re.compile(r"[㐀-鿿々ヶケ]{2,}(?<!\d)\d{1,2}-\d{1,2}(?:-\d{1,3})?(?![\d\-])"),
+)
+#: Pieces that may be addresses though no street word is known for them: a number before capitalised words, or
+#: behind them within a sentence.
+_TITLED = r"[A-ZÀ-Þ][^\W\d_A-ZÀ-Þ][\w'’\-]*+"
+STREETLIKE = re.compile(
+    rf"(?<![\w.,\-])\d{{1,4}}[a-z]?\s(?:{_TITLED}(?:[ \t](?=[A-ZÀ-Þ][^\W\d_A-ZÀ-Þ]))?){{2,}}+"
+    rf"|(?<=[\w,:;][ \t])(?:{_TITLED}[ \t]){{1,3}}+\d{{1,4}}[a-z]?(?![\w\-]|[.,]\d)"
 )
 ID_SHAPES = tuple(
     re.compile(p, re.I)
@@ -72,417 +87,566 @@ ID_SHAPES = tuple(
         r"\d{4} \d{4} \d{4}",  # My Number
     )
 )
-PHONE_SHAPES = tuple(re.compile(p) for p in (r"\+\d.{7,}", r"00\d{2} .{7,}", r"\(\d{3}\) \d{3}-\d{4}", r"\d{3}[.\-]\d{3}[.\-]\d{4}", r"0\d0[ \-]\d{4}[ \-]\d{4}", r"\d{2}(?:[ .]\d{2}){4}"))
+COUNTRY_SHAPES = tuple(re.compile(p) for p in (r"\+\d.{7,}", r"00\d{2} .{7,}"))
+PHONE_SHAPES = tuple(re.compile(p) for p in (r"\(\d{3}\) \d{3}-\d{4}", r"\d{3}[.\-]\d{3}[.\-]\d{4}", r"0\d0[ \-]\d{4}[ \-]\d{4}", r"\d{2}(?:[ .]\d{2}){4}"))
+#: Seeds of numbers that aren't personal: order, batch and serial numbers.
 OTHER_SHAPES = tuple(re.compile(p, re.I) for p in (r"\d{3}-\d{4}-\d{2}", r"\d{8}-\d", r"[A-Z]{2}\d{3}-\d{5}"))
-FORMS = {"mr", "mrs", "ms", "miss", "mister", "frau", "herr", "herrn", "mme", "mlle", "madame", "monsieur", "sr", "sra", "srta", "señor", "señora", "señorita"}
+FORMS = ("mr", "mrs", "ms", "miss", "mister", "frau", "herr", "herrn", "mme", "mlle", "madame", "monsieur", "sr", "sra", "srta", "señor", "señora", "señorita")
+PARTICLES = ("van", "von", "der", "den", "de", "del", "da", "di", "du", "la", "le", "los", "y", "zu")
 #: `M.` is a form of address in front of these, otherwise an initial.
-_AFTER_M = {"du", "de", "des", "a", "est", "ne", "qui", "au"}
+_AFTER_M = ("du", "de", "des", "a", "est", "ne", "qui", "au")
 
+_GAP = r"(?:\)?[  .\-/]\(?|\)\(?|\()"
 NUMBER = re.compile(
-    rf"{_B}(?:\d{{8}}[ \-]?[A-Z]{_E}"
-    rf"|(?=[A-Z0-9])(?=[A-Z0-9\-]{{0,40}}[A-Z])(?=(?:[A-Z\-]{{0,40}}\d){{6}})[A-Z0-9]+(?:-[A-Z0-9]+)*{_E}"
-    rf"|(?<![+(])[+(]{{0,2}}\d+(?:\)?[  .\-/]?\(?\d+)*{_E})",
-    re.I,
+    rf"(?<![A-Za-z0-9])(?:\d{{8}}[ \-]?[A-Za-z]{_E}"
+    rf"|(?=[A-Za-z]*+[0-9\-])(?=[0-9\-]*+[A-Za-z])[A-Za-z0-9]++(?:-[A-Za-z0-9]++)*+"
+    rf"|(?<![+(])[+(]{{0,2}}\d++(?:{_GAP}\d++)*{_E})"
 )
-_TOKEN = re.compile(rf"[{_CJK}ヶケ]|{_L}+(?:['’]{_L}+)*|\d+|\n+|[^\s]")
-_WORD = re.compile(rf"{_L}+(?:['’]{_L}+)*")
-_JA_SUR, _JA_GIVEN = r"[㐀-鿿々ヶケ]{2,3}", r"(?:[㐀-鿿々]{1,3}|[ぁ-ゖ]{2,4}|[ァ-ヺ]{2,5})"
+_JA_SUR, _JA_GIVEN = r"[㐀-鿿々ヶケ]{2,3}", r"(?:[㐀-鿿々]{1,3}|[ぁ-ゖ]{2,8}?|[ァ-ヺ]{2,8})"
 JA_HONORED = re.compile(rf"(?<![㐀-鿿々ヶケ])({_JA_SUR}[ 　]?{_JA_GIVEN})(?:さん|様|氏)")
-JA_BLOCK = re.compile(rf"(?<![㐀-鿿々ヶケ])({_JA_SUR}[ 　]?{_JA_GIVEN})[ 　]*$")
-_STOP = set(".!?;。！？…")
+JA_SPACED = re.compile(rf"(?<![㐀-鿿々ヶケ])({_JA_SUR}[ 　](?:[㐀-鿿々]{{1,3}}|[ぁ-ゖ]{{2,4}}|[ァ-ヺ]{{2,8}}))(?![㐀-鿿々ヶケ])")
+JA_BLOCK = re.compile(rf"(?<![㐀-鿿々ヶケ])({_JA_SUR}[ 　]?(?:[㐀-鿿々]{{1,3}}|[ぁ-ゖ]{{2,8}}|[ァ-ヺ]{{2,8}}))$")
+
+#: What a text must hold for a shape to be looked for (linear-time supersets of the shapes above).
+_MAY_EMAIL = r"(?i)[@＠]|[\[({]\s?at\s?[\])}]|\sat\s+[^\s]+\s+dot\s|\sarroba\s"
+_MAY_NUMBER = r"(?:[0-9][ \x{a0}().\-/+]{0,3}){4}[0-9]|(?:[A-Za-z\-]*[0-9]){5}"
+_MAY_ADDRESS = (
+    rf"(?i)[0-9][a-z]?\s+(?:\S+\s+){{1,3}}{_EN_STREET.replace('?:', '')}|[0-9],?(?:\s?(?:bis|ter|quater))?,?\s+{_FR_STREET}\s"
+    r"|(?:Calle|C/|Avenida|Avda|Av\.|Pza|P\.?º|Paseo|Plaza|Camino|Ronda|Carrera|Travesía)\s*\S"
+    rf"|{_DE_STREET}\s+[0-9]|[㐀-鿿々ヶケ][0-9]{{1,2}}-[0-9]"
+)
+_MAY_STREETLIKE = r"[0-9][a-z]?\s[A-ZÀ-Þ]\p{Ll}\S*\s[A-ZÀ-Þ]\p{Ll}|[^\s.!?][ \t][A-ZÀ-Þ]\p{Ll}\S*[ \t][0-9]"
+_MAY_JAPANESE = r"[㐀-鿿]{2}"
+
+_WORD = re.compile(rf"{_L}+")
+_MANY = 5, 8, 6  # digits of a number that is a candidate; of one that is folded to a token; of one with letters
+
+_CODES = {name: np.array([K.code_of(w) for w in words], dtype=np.uint64) for name, words in (("forms", FORMS), ("particles", PARTICLES), ("hyphen", "-"), ("comma", ","), ("slash", "/"))}
 
 
 def label_of(value: str) -> str | None:
-    """The type a value's shape gives away: id, phone, none (order, batch, serial), or null."""
-    for label, shapes in (("none", OTHER_SHAPES), ("id", ID_SHAPES), ("phone", PHONE_SHAPES)):
+    """The type a seed's shape gives away: id, phone, none (order, batch, serial), or null."""
+    for label, shapes in (("none", OTHER_SHAPES), ("id", ID_SHAPES), ("phone", COUNTRY_SHAPES + PHONE_SHAPES)):
         if any(s.fullmatch(value) for s in shapes):
             return label
     return None
 
 
-class Page:
-    """One text: shape spans, then tokens with entities folded to one token each."""
-
-    def __init__(self, text: str):
-        self.text = text
-        spans: list[tuple[int, int, str]] = []
-        free = text
-
-        def take(found, kind):
-            nonlocal free
-            new = [m.span() for m in found if "\x00" not in m.group()]
-            if not new:
-                return
-            spans.extend((a, b, kind) for a, b in new)
-            parts, at = [], 0
-            for a, b in new:
-                parts += [free[at:a], "\x00" * (b - a)]
-                at = b
-            free = "".join([*parts, free[at:]])
-
-        if "@" in text or "＠" in text or re.search(r"[\[({ ](?:at|arroba)[\])} ]", text, re.I):
-            take(EMAIL.finditer(free), "email")
-        if any(c.isdigit() for c in text):
-            for shape in ADDRESSES:
-                take(shape.finditer(free), "address")
-            take((m for m in NUMBER.finditer(free) if sum(map(str.isdigit, m.group())) >= (6 if re.search("[A-Za-z]", m.group()) else 8)), "number")
-        self.spans = sorted(spans)
-        self.tokens: list[str] = []  # lower case; entities as <e> <a> <n>, ends of sentences as <b>
-        self.at: list[tuple[int, int]] = []
-        self.entity: list[int] = []
-        self.is_word: list[bool] = []
-        pos = 0
-        for k, (a, b, kind) in enumerate(self.spans):
-            self._cut(pos, a)
-            self._add(f"<{kind[0]}>", a, b, k)
-            pos = b
-        self._cut(pos, len(text))
-
-    def _add(self, token, a, b, k=-1):
-        self.tokens.append(token)
-        self.at.append((a, b))
-        self.entity.append(k)
-        self.is_word.append(False)
-
-    def _cut(self, a: int, b: int):
-        text, tokens, at, is_word = self.text, self.tokens, self.at, self.is_word
-        before = len(tokens)
-        for m in _TOKEN.finditer(text, a, b):
-            t, span = m.group(), m.span()
-            c = t[0]
-            word = False
-            if c.isalpha():
-                kind = t.lower()
-                word = len(t) > 1 and not "\u3040" <= c <= "\u9fff"
-            elif c.isdigit():
-                kind = "0"
-            elif c in _STOP or c == "\n":
-                kind = "<b>"
-            elif c in "-–—" and text[span[0] - 1 : span[0]].isspace() and not text[span[1] : span[1] + 1].strip():
-                kind = "<b>"
-            else:
-                kind = t
-            tokens.append(kind)
-            at.append(span)
-            is_word.append(word)
-        self.entity += [-1] * (len(tokens) - before)
-
-    def left(self, i: int, n: int) -> str:
-        got = self.tokens[max(0, i - n) : i]
-        return " ".join(["<b>"] * (n - len(got)) + got)
-
-    def right(self, j: int, n: int) -> str:
-        got = self.tokens[j : j + n]
-        return " ".join(got + ["<b>"] * (n - len(got)))
-
-    def number_keys(self, i: int) -> list[str]:
-        return [f"L {self.left(i, 2)}", f"M {self.left(i, 1)} | {self.right(i + 1, 1)}", f"R {self.right(i + 1, 2)}"]
+def mask(value: str) -> str:
+    return re.sub(r"[^\W\d_]", "A", re.sub(r"\d", "9", value))
+
+
+def shapes_of(text: str, email: bool, number: bool, address: bool, streetlike: bool) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
+    """(spans folded to tokens, spans only proposed) of a text, each sorted and without overlaps."""
+    spans: list[tuple[int, int, str]] = []
+    loose: list[tuple[int, int, str]] = []
+    free = text
+
+    def take(found, kind):
+        nonlocal free
+        new = [m.span() for m in found if "\x00" not in m.group()]
+        if not new:
+            return
+        spans.extend((a, b, kind) for a, b in new)
+        parts, at = [], 0
+        for a, b in new:
+            parts += [free[at:a], "\x00" * (b - a)]
+            at = b
+        free = "".join([*parts, free[at:]])
+
+    if email:
+        take(EMAIL.finditer(free), "email")
+    if address:
+        for shape in ADDRESSES:
+            take(shape.finditer(free), "address")
+    if number:
+        few = []
+        for m in NUMBER.finditer(free):
+            digits = sum(map(str.isdigit, m.group()))
+            if digits >= _MANY[0]:
+                few.append((m, digits >= (_MANY[2] if re.search("[A-Za-z]", m.group()) else _MANY[1])))
+        take((m for m, whole in few if whole), "number")
+        loose += [(*m.span(), "number") for m, whole in few if not whole]
+    if streetlike:
+        loose += [(*m.span(), "address") for m in STREETLIKE.finditer(free) if "\x00" not in m.group()]
+    return sorted(spans), sorted(loose)
+
+
+def japanese_names(text: str, spans: list[tuple[int, int, str]]) -> list[tuple[int, int, bool]]:
+    """(start, end, seed): names with an honorific or in front of an address, and spaced ones that may be names."""
+    out = {m.span(1): True for m in JA_HONORED.finditer(text)}
+    for a, _, kind in spans:
+        if kind == "address":
+            end = len(text[:a].rstrip(" 　")) if text[a - 1 : a] in (" ", "　") else a
+            if m := JA_BLOCK.search(text, max(0, end - 12), end):
+                out[m.span(1)] = True
+    for m in JA_SPACED.finditer(text):
+        if all(m.end(1) <= a or b <= m.start(1) for a, b in out):
+            out[m.span(1)] = False
+    return [(a, b, seed) for (a, b), seed in sorted(out.items())]
+
+
+def tells(side: str, left: list[str], right: list[str]) -> bool:
+    """Whether a name's context has words of its own: one to the left in a pattern of two words left,
+    or two to the right, or an entity to the right; not across the end of a sentence."""
+    own = []
+    for t in right:
+        if t == "<b>":
+            break
+        own.append(t)
+    words = [t for t in own if t.isalpha() or t.startswith("<")]
+    if any(t in ("<a>", "<n>") for t in words) or len(words) > 1:
+        return True
+    if side != "B":
+        return False
+    near = []
+    for t in reversed(left):
+        if t == "<b>":
+            break
+        near.append(t)
+    return any(t.isalpha() or t.startswith("<") for t in near)
+
+
+class Reader:
+    """A batch of texts with its tokens and the candidates in it."""
+
+    def __init__(self, texts: list[str], flags: list[tuple[bool, ...]]):
+        self.texts, self.spans, self.loose, self.japanese = texts, [], [], []
+        entities = []
+        for t, (text, (email, number, address, streetlike, kanji)) in enumerate(zip(texts, flags)):
+            spans, loose = shapes_of(text, email, number, address, streetlike) if email or number or address or streetlike else ([], [])
+            entities += [(t, *s) for s in spans]
+            self.spans += [(t, *s) for s in spans]
+            self.loose += [(t, *s) for s in loose]
+            if kanji:
+                self.japanese += [(t, *s) for s in japanese_names(text, spans)]
+        self.s = K.Stream(texts, entities)
+
+    # -- full names: arrays of (first token, token behind the last)
+
+    def names(self) -> tuple[np.ndarray, np.ndarray]:
+        s, n = self.s, self.s.n
+        if not n:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        places = np.arange(n)
+        word, code = s.word, s.code
+        form, particle = np.isin(code, _CODES["forms"]), np.isin(code, _CODES["particles"])
+        touch = np.append(s.end[:-1] == s.begin[1:], False)
+        near = np.append(word[1:], False)
+        hyphen = (s.kind == K.SINGLE) & np.isin(code, _CODES["hyphen"]) & touch & np.roll(touch, 1) & near & np.roll(word, 1)
+        chain = hyphen | (word & (np.append(hyphen[1:], False)))
+        after = np.minimum(K.run_end(chain) + 1, n)  # behind the last word of a hyphenated one
+        after = np.where(word, after, places)
+        letter = (s.kind == K.LETTER) & ~word
+        dotted = letter & touch & np.append(s.dot[1:], False)
+        initial = dotted | np.concatenate([[False], dotted[:-1]])
+        past = K.run_end(initial)
+
+        def get(array, i, default=False):
+            return np.where(i < n, array[np.minimum(i, n - 1)], default)
+
+        firsts, lasts = [], []
+
+        def add(ok, i, j):
+            firsts.append(i[ok])
+            lasts.append(j[ok])
+
+        # Initials, then a family name.
+        i = places[dotted]
+        k = past[i]
+        add(get(word, k), i, get(after, k, 0))
+        # A given name, initials, a family name; further ones with particles between them.
+        i = places[word & ~form]
+        j = after[i]
+        k = np.where(get(dotted, j), get(past, j, n), j)
+        for step in range(3):
+            ok = get(word, k) & ~get(form, k)
+            i, k = i[ok], k[ok]
+            e = after[k]
+            whole = self.cased(i, e) if step else np.ones(len(i), dtype=bool)
+            if step:
+                i, e = i[whole], e[whole]
+            add(np.ones(len(i), dtype=bool), i, e)
+            k = e
+        i = places[word & ~form]
+        k = after[i]
+        for _ in range(3):
+            ok = get(particle, k)
+            i, k = i[ok], k[ok] + 1
+            last = get(word, k) & get(s.cap, k) & ~get(particle, k)
+            add(last, i, get(after, k, 0))
+        # A family name, a comma, a given name.
+        i = places[word & ~form]
+        j = after[i]
+        ok = np.isin(get(code, j, np.uint64(0)), _CODES["comma"]) & get(word, j + 1)
+        i, j = i[ok], after[j[ok] + 1]
+        add(np.ones(len(i), dtype=bool), i, j)
+        add(get(dotted, j), i, j + 2)
+        i, j = np.concatenate(firsts), np.concatenate(lasts)
+        order = np.lexsort((j, i))
+        i, j = i[order], j[order]
+        fresh = np.ones(len(i), dtype=bool)
+        fresh[1:] = (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+        return i[fresh], j[fresh]
+
+    def _sum(self, flags: np.ndarray) -> np.ndarray:
+        return np.concatenate([[0], np.cumsum(flags)])
+
+    def cased(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        if not hasattr(self, "_small"):
+            self._small = self._sum(self.s.word & ~self.s.cap)
+        return self._small[j] == self._small[i]
+
+    def titled(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        if not hasattr(self, "_loud"):
+            self._loud = self._sum(self.s.word & self.s.all_upper)
+        return self.cased(i, j) & (self._loud[j] == self._loud[i])
+
+    def begins(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """A capitalised run can't be entered in its middle."""
+        s = self.s
+        p = i - 1
+        inside = (p >= 0) & s.word[p] & s.cap[p] & self.cased(i, j) & ~np.isin(s.code[p], _CODES["forms"])
+        return ~(inside & (s.end[p] + 1 == s.begin[i]) & (s.at(i - 2) != K.B))
+
+    def block(self, j: np.ndarray) -> np.ndarray:
+        """Whether an address or a number of a contact block follows."""
+        r = [self.s.at(j + x) for x in range(4)]
+        comma, slash = (np.isin(r[0], _CODES[x]) for x in ("comma", "slash"))
+        mail = (np.isin(r[2], _CODES["comma"]) & comma | np.isin(r[2], _CODES["slash"]) & comma) & (r[1] == K.N) & (r[3] == K.E)
+        return slash & (r[1] == K.N) | comma & (r[1] == K.A) | mail
+
+    def gates(self, i: np.ndarray, j: np.ndarray) -> list[np.ndarray]:
+        at = self.s.at
+        return [
+            K.combine(1, at(i - 2), at(i - 1), at(j)),
+            K.combine(2, at(i - 1), at(j), at(j + 1)),
+            K.combine(3, at(j), at(j + 1), at(j + 2)),
+        ]
 
     def name_keys(self, i: int, j: int) -> list[str]:
-        """Patterns around tokens i..j-1: both sides, or three words of one side next to an end on the other."""
-        return [f"B {self.left(i, 2)} | {self.right(j, 1)}", f"A {self.left(i, 1)} | {self.right(j, 2)}", f"R {self.right(j, 3)}"]
+        show = self.s.show
+        left, right = [show(i - 2), show(i - 1)], [show(j), show(j + 1), show(j + 2)]
+        out = []
+        for side, a, b in (("B", left, right[:1]), ("A", left[1:], right[:2]), ("R", [], right)):
+            out.append(f"w{side if tells(side, a, b) else side.lower()} {' '.join(a)} | {' '.join(b)}")
+        return out
 
-    # -- names: tokens i..j-1 that have the make-up of a full name
+    def side_keys(self, kind: str, i: int, j: int) -> list[str]:
+        """Contexts of tokens i..j-1: two to the left, one on either side, two to the right."""
+        show = self.s.show
+        l2, l1, r1, r2 = show(i - 2), show(i - 1), show(j), show(j + 1)
+        return [f"{kind}L {l2} {l1}", f"{kind}M {l1} | {r1}", f"{kind}R {r1} {r2}"]
 
-    def _word(self, i: int) -> bool:
-        return i < len(self.is_word) and self.is_word[i]
+    def words_of(self, i: int, j: int) -> list[str]:
+        return [f"w {self.s.show(k)}" for k in range(i, j) if self.s.word[k]]
+
+    def places(self, t: int, a: int, b: int) -> tuple[int, int]:
+        """Tokens of a span of a text."""
+        x = int(self.s.base[t])
+        return int(np.searchsorted(self.s.begin, x + a)), int(np.searchsorted(self.s.begin, x + b))
+
+    def shaped(self):
+        """(text, start, end, kind, label, sure, marks, contexts) of all candidates but names in tokens."""
+        for rows, firm in ((self.spans, True), (self.loose, False)):
+            for t, a, b, kind in rows:
+                value = self.texts[t][a:b]
+                if kind == "email":
+                    yield t, a, b, "e", "email", True, [], []
+                    continue
+                i, j = self.places(t, a, b)
+                if kind == "number":
+                    sure = firm and any(x.fullmatch(value) for x in COUNTRY_SHAPES)
+                    yield t, a, b, "n", label_of(value), sure, [f"n# {mask(value)}"], self.side_keys("n", i, j)
+                else:
+                    words = [f"a {w}" for w in dict.fromkeys(_WORD.findall(value.lower()))]
+                    yield t, a, b, "a", "address" if firm else None, False, [*words, f"a# {re.sub(r'[^\W\d_]+', 'w', mask(value).replace('A', 'w'))}"], self.side_keys("a", i, j)
+        for t, a, b, seed in self.japanese:
+            i, j = self.places(t, a, b)
+            value = self.texts[t][a:b]
+            yield t, a, b, "j", "name" if seed else None, False, [f"j {value[:2]}", f"j+ {re.sub('^.[^ 　]{1,2}[ 　]?', '', value)}"], self.side_keys("j", i, j)
+
+    def addressed(self) -> list[tuple[int, int, int]]:
+        """(form's token, first token, token behind the last) of family names right behind a form of address."""
+        s, out = self.s, []
+        for f in np.flatnonzero(np.isin(s.code, _CODES["forms"]) & s.word):
+            i = f + 1
+            if i < s.n and s.raw(i) == "." and s.end[f] == s.begin[i]:
+                i += 1
+            if i < s.n and s.word[i] and (s.cap[i] or not s.cap[f]) and s.owner[i] == s.owner[f]:
+                j = i + 1
+                while j + 1 < s.n and s.raw(j) == "-" and s.end[j - 1] == s.begin[j] and s.end[j] == s.begin[j + 1] and s.word[j + 1]:
+                    j += 2
+                out.append((int(f), int(i), int(j)))
+        return out
 
-    def _initial(self, i: int) -> bool:
-        return i + 1 < len(self.tokens) and not self.is_word[i] and len(self.tokens[i]) == 1 and self.tokens[i].isalpha() and self.raw(i + 1) == "." and self.at[i][1] == self.at[i + 1][0]
 
-    def raw(self, i: int) -> str:
-        return self.text[self.at[i][0] : self.at[i][1]]
+def _chunks(texts: list[str], flags: list[tuple[bool, ...]]):
+    """Batches of whole texts, bounded by code points."""
+    start = size = 0
+    for n, t in enumerate(texts):
+        size += len(t)
+        if size >= CHUNK:
+            yield start, Reader(texts[start : n + 1], flags[start : n + 1])
+            start, size = n + 1, 0
+    if start < len(texts):
+        yield start, Reader(texts[start:], flags[start:])
 
-    def _joined(self, i: int) -> int:
-        """End of a word with its hyphenated parts."""
-        j = i + 1
-        while j + 1 < len(self.tokens) and self.tokens[j] == "-" and self.at[j][0] == self.at[j - 1][1] and self.at[j + 1][0] == self.at[j][1] and self._word(j + 1):
-            j += 2
-        return j
 
-    def names_from(self, i: int) -> list[int]:
-        """Ends of the full names that start at token i: given (initial) family, initial family, family comma given (initial)."""
-        out = []
-        if self._initial(i):
-            j = i + 2
-            while self._initial(j):
-                j += 2
-            if self._word(j):
-                out.append(self._joined(j))
-            return out
-        if not self._word(i) or self.tokens[i] in FORMS:
-            return out
-        j = self._joined(i)
-        k = j
-        while self._initial(k):
-            k += 2
-        if self._word(k) and self.tokens[k] not in FORMS:
-            out.append(self._joined(k))
-        if j < len(self.tokens) and self.tokens[j] == "," and self._word(j + 1):
-            k = self._joined(j + 1)
-            out.append(k)
-            if self._initial(k):
-                out.append(k + 2)
-        return out
+def _readers(column):
+    """(place of the first text, reader) over an Arrow column of texts."""
+    import pyarrow.compute as pc
 
-    def cased(self, i: int, j: int) -> bool:
-        return all(self.raw(k)[0].isupper() for k in range(i, j) if self._word(k))
+    shapes = [pc.match_substring_regex(column, p).to_pylist() for p in (_MAY_EMAIL, _MAY_NUMBER, _MAY_ADDRESS, _MAY_STREETLIKE, _MAY_JAPANESE)]
+    yield from _chunks(column.to_pylist(), list(zip(*shapes)))
 
-    def titled(self, i: int, j: int) -> bool:
-        """Every word capitalised, none in capitals throughout: what is learned from."""
-        return self.cased(i, j) and all(not self.raw(k).isupper() for k in range(i, j) if self._word(k))
 
-    def words_of(self, i: int, j: int) -> list[str]:
-        return [self.tokens[k] for k in range(i, j) if self._word(k)]
+def _signed(x: np.ndarray) -> list[int]:
+    return x.astype(np.int64).tolist()
 
-    def begins(self, i: int, j: int) -> bool:
-        """A capitalised run can't be entered in its middle."""
-        return not (i > 0 and self._word(i - 1) and self.raw(i - 1)[0].isupper() and self.cased(i, j) and self.tokens[i - 1] not in FORMS and self.at[i - 1][1] + 1 == self.at[i][0] and i > 1 and self.tokens[i - 2] != "<b>")
-
-    def block(self, j: int) -> bool:
-        """Whether an address or a number of a contact block follows token j-1."""
-        return self.right(j, 2) in {"/ <n>", ", <a>"} or self.right(j, 4) in {", <n> , <e>", ", <n> / <e>"}
-
-
-def candidates(text: str) -> list[tuple[str, str, str | None, list[str], list[str]]]:
-    """(kind, value, label, patterns, words) of the numbers and capitalised names of a text."""
-    page, out = Page(text), []
-    for i, k in enumerate(page.entity):
-        if k >= 0 and page.spans[k][2] == "number":
-            value = text[page.spans[k][0] : page.spans[k][1]]
-            out.append(("number", value, label_of(value), page.number_keys(i), []))
-    for i in range(len(page.tokens)):
-        if page.entity[i] >= 0 or not text[page.at[i][0]].isupper():
-            continue
-        for j in page.names_from(i):
-            if page.titled(i, j):
-                seed = "name" if page.block(j) and page.begins(i, j) else None
-                out.append(("name", " ".join(page.words_of(i, j)), seed, page.name_keys(i, j), page.words_of(i, j)))
-    return out
 
+_CANDIDATE = "kind string, label string, marks array<string>, keys array<string>, gates array<bigint>"
 
-_SCHEMA = "kind string, value string, label string, keys array<string>, words array<string>"
+
+def _readable(df: DataFrame, key: str | None, text: str) -> DataFrame:
+    cols = [F.col(text).alias("t")] + ([F.col(key).alias("k")] if key else [])
+    return df.select(*cols).where(F.col("t").isNotNull() & (F.trim("t") != ""))
 
 
 def candidate_rows(df: DataFrame, text: str = "text") -> DataFrame:
-    src = df.select(F.col(text).alias("t")).where(F.col("t").isNotNull() & (F.trim("t") != ""))
+    """What patterns are learned from: shaped candidates, addressed and capitalised names of all texts."""
 
     def run(batches):
         import pyarrow as pa
 
+        kinds = [pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.string()), pa.list_(pa.int64())]
         for batch in batches:
-            rows = [c for t in batch.column(0).to_pylist() for c in candidates(t)]
+            rows = []
+            for _, r in _readers(batch.column(0)):
+                rows += [(kind, label, marks, keys, []) for _, _, _, kind, label, _, marks, keys in r.shaped() if keys]
+                rows += [("f", "name", r.words_of(i, j), [f"f {r.s.show(f)}"], []) for f, i, j in r.addressed()]
+                i, j = r.names()
+                ok = r.titled(i, j)
+                i, j = i[ok], j[ok]
+                seed = r.block(j) & r.begins(i, j)
+                gates = np.stack(r.gates(i, j), axis=1) if len(i) else np.zeros((0, 3), np.uint64)
+                for x, y, s, g in zip(i.tolist(), j.tolist(), seed.tolist(), gates):
+                    rows.append(("w", "name" if s else None, r.words_of(x, y), r.name_keys(x, y), _signed(g)))
             cols = list(zip(*rows)) or [()] * 5
-            kinds = [pa.string(), pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.string())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["kind", "value", "label", "keys", "words"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["kind", "label", "marks", "keys", "gates"])
 
-    return src.mapInArrow(run, _SCHEMA)
+    return _readable(df, None, text).mapInArrow(run, _CANDIDATE)
 
 
-def tells(key: str) -> bool:
-    """Whether a name pattern has words of its own: one to the left in a pattern of both sides
-    that reaches two words left, or two to the right, or an entity; not across a sentence end."""
-    kind, _, rest = key.partition(" ")
-    left, _, right = rest.rpartition(" | ") if kind != "R" else ("", "", rest)
-    left_words = [t for t in left.split(" <b>")[-1].replace("<b>", "").split() if t.isalpha() or t.startswith("<")]
-    right_side = right.split("<b>")[0].split()
-    right_words = [t for t in right_side if t.isalpha() or t.startswith("<")]
-    if any(t in ("<a>", "<n>") for t in right_words):
-        return True
-    return (kind == "B" and len(left_words) > 0) or len(right_words) > 1
+_TYPES = ("phone", "id", "none", "address", "name")
 
 
-def _least(n: int) -> float:
-    return max(MIN_SUPPORT, n * MIN_SHARE)
+def _tallies(instances: DataFrame, by: str, label: str) -> DataFrame:
+    """(key, total, labelled, type, hits, gate) of patterns: instances, those with a label, the commonest label."""
+    with_gate = by == "keys"
+    cell = F.arrays_zip(F.col("keys").alias("key"), F.col("gates").alias("gate")) if with_gate else F.transform(F.array_distinct(by), lambda m: F.struct(m.alias("key"), F.lit(None).cast("bigint").alias("gate")))
+    flat = instances.select(F.explode(cell).alias("c"), "n", F.col(label).alias("l")).select("c.key", "c.gate", "n", "l")
+    sums = [F.sum(F.when(F.col("l") == t, F.col("n")).otherwise(0)).alias(f"t_{t}") for t in _TYPES]
+    out = flat.groupBy("key").agg(F.sum("n").alias("total"), F.first("gate").alias("gate"), *sums)
+    best = F.greatest(*[F.struct(F.col(f"t_{t}").alias("hits"), F.lit(t).alias("type")) for t in _TYPES])
+    return out.select("key", "gate", "total", sum((F.col(f"t_{t}") for t in _TYPES), F.lit(0)).alias("labelled"), best.alias("b")).select("key", "gate", "total", "labelled", "b.*")
 
 
-def number_patterns(rows: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(key, type, score) of the patterns that tell phones, ids and other numbers apart."""
-    # Instances of equal value and context are one node with a weight.
-    nodes = cut_lineage(rows.where("kind = 'number'").groupBy("value", "label", "keys").agg(F.count("*").alias("n")))
-    least = _least(nodes.agg(F.sum("n")).first()[0] or 0)
-    labelled, patterns = nodes, None
-    for step in range(rounds):
-        edges = labelled.where("label is not null").select("label", "n", F.explode("keys").alias("key"))
-        counts = edges.groupBy("key", "label").agg(F.sum("n").alias("n"))
-        best = counts.groupBy("key").agg(F.sum("n").alias("total"), F.max(F.struct("n", "label")).alias("b"))
-        score = F.col("b.n") / F.col("total")
-        patterns = cut_lineage(best.where((F.col("b.n") >= least) & (score >= NUMBER_CONFIDENCE)).select("key", F.col("b.label").alias("type"), (score * F.log1p("total")).alias("score")))
-        if step == rounds - 1:
-            break
-        known = broadcast_if_small(patterns)
-        open_ = nodes.where("label is null").withColumn("id", F.struct("value", "keys"))
-        votes = open_.select("id", "value", "keys", "n", F.explode("keys").alias("key")).join(known, "key")
-        won = votes.groupBy("id", "type").agg(F.sum("score").alias("score"), F.max("n").alias("n")).groupBy("id").agg(F.max(F.struct("score", "type")).alias("b"), F.max("n").alias("n"))
-        won = won.select("id.value", F.col("b.type").alias("label"), "id.keys", "n")
-        labelled = cut_lineage(nodes.where("label is not null").unionByName(won))
-    return patterns
+def _promoted(tallies: DataFrame, spelling: bool) -> DataFrame:
+    """(key, type, score, gate) of confident patterns."""
+    kind = F.substring("key", 1, 1)
+    told, share = F.col("hits") / F.col("labelled"), F.col("hits") / F.col("total")
+    number = (F.col("hits") >= SUPPORT) & (told >= NUMBER_CONFIDENCE)
+    if spelling:
+        ok = F.when(kind == "n", number & (share >= 0.5)).when(kind == "a", (F.col("hits") >= SUPPORT) & (share >= ADDRESS_CONFIDENCE)).otherwise(share >= WORD_SHARE)
+    else:
+        ok = F.when(kind == "n", number).when(kind == "a", (F.col("hits") >= SUPPORT) & (share >= ADDRESS_CONFIDENCE)).otherwise((F.col("hits") >= SUPPORT) & (share >= NAME_CONFIDENCE))
+    # A number's shape is common to many corpora of numbers, so it weighs half as much as a context.
+    weight = F.when(kind == "n", told * F.log1p("labelled") * (0.5 if spelling else 1.0)).otherwise(share * F.log1p("total"))
+    return tallies.where((F.col("hits") > 0) & ok).select("key", "type", weight.alias("score"), "gate")
 
 
-def name_patterns(rows: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(key, type, score) of the patterns around names.
+def _votes(nodes: DataFrame, by: str, patterns: DataFrame) -> DataFrame:
+    """(id, type, share): the type most of a node's patterns speak for, and the share of them that are known."""
+    flat = nodes.select("id", F.size(F.array_distinct(by)).alias("size"), F.explode(F.array_distinct(by)).alias("key"))
+    hit = flat.join(broadcast_if_small(patterns.select("key", "type", "score")), "key")
+    sums = [F.sum(F.when(F.col("type") == t, F.col("score")).otherwise(0.0)).alias(f"t_{t}") for t in _TYPES]
+    out = hit.groupBy("id").agg(*sums, (F.count("*") / F.max("size")).alias("share"))
+    best = F.greatest(*[F.struct(F.col(f"t_{t}").alias("score"), F.lit(t).alias("type")) for t in _TYPES])
+    return out.select("id", best["type"].alias("type"), "share")
 
-    A pattern's confidence is the share of its capitalised instances whose words are known
-    from instances already taken for names; function words and brands fall away there.
-    """
-    nodes = cut_lineage(rows.where("kind = 'name'").groupBy("value", "words", "label", "keys").agg(F.count("*").alias("n")))
-    least = _least(nodes.agg(F.sum("n")).first()[0] or 0)
-    nodes = nodes.withColumn("id", F.xxhash64("value", "keys", "label"))
-    taken, patterns = nodes.where("label is not null"), None
+
+def learned_patterns(df: DataFrame, text: str = "text", rounds: int = ROUNDS) -> DataFrame:
+    """(key, type, score, gate) of the patterns the texts teach; `gate` is the code of a name's context."""
+    rows = candidate_rows(df, text)
+    # Instances of equal spelling and context are one node with a weight.
+    nodes = rows.groupBy("kind", "label", "marks", "keys", "gates").agg(F.count("*").alias("n"))
+    nodes = cut_lineage(nodes.withColumn("id", F.monotonically_increasing_id()))
+    seen = nodes.withColumn("c", F.col("label"))
     for step in range(rounds):
-        taken_words = taken.select(F.explode("words").alias("word"), "n").groupBy("word").agg(F.sum("n").alias("c"))
-        all_words = nodes.select(F.explode("words").alias("word"), "n").groupBy("word").agg(F.sum("n").alias("all"))
-        # A word counts as a name's when a fair share of it is in instances taken for names.
-        lexicon = taken_words.join(all_words, "word").where(F.col("c") >= F.col("all") * WORD_SHARE).select("word")
-        flat = nodes.select("id", F.explode(F.array_distinct("words")).alias("word"))
-        hits = flat.join(broadcast_if_small(cut_lineage(lexicon)), "word").groupBy("id").agg(F.count("*").alias("hits"))
-        scored = cut_lineage(nodes.join(hits, "id", "left").withColumn("known", F.coalesce("hits", F.lit(0)) / F.greatest(F.size("words"), F.lit(1))))
-        edges = scored.select(F.explode("keys").alias("key"), "n", "known")
-        counts = edges.groupBy("key").agg(F.sum("n").alias("total"), F.sum(F.col("n") * (F.col("known") > 0.4).cast("int")).alias("good"))
-        score = F.col("good") / F.col("total")
-        patterns = cut_lineage(counts.where((F.col("good") >= least) & (score >= NAME_CONFIDENCE)).select("key", F.lit("name").alias("type"), (score * F.log1p("total")).alias("score")))
+        marks = cut_lineage(_promoted(_tallies(seen, "marks", "c"), spelling=True))
+        spoken = nodes.join(_votes(nodes, "marks", marks), "id", "left")
+        known = F.when(F.col("share") > KNOWN_WORDS, F.col("type"))
+        label = F.when(F.col("kind").isin("w", "f"), known).otherwise(F.coalesce("label", known))
+        contexts = cut_lineage(_promoted(_tallies(spoken.withColumn("s", label), "keys", "s"), spelling=False))
         if step < rounds - 1:
-            held = scored.select("id", F.explode("keys").alias("key")).join(broadcast_if_small(patterns), "key").select("id").distinct()
-            taken = cut_lineage(nodes.join(held, "id", "left_semi").unionByName(nodes.where("label is not null")).dropDuplicates(["id"]))
-    return patterns
-
-
-class Finder:
-    """Shapes and promoted patterns, applied to a text."""
-
-    def __init__(self, patterns: list[tuple[str, str, float]]):
-        self.number = {k: (t, s) for k, t, s in patterns if t != "name"}
-        self.name = {k: s for k, t, s in patterns if t == "name" and tells(k)}
-        # Tokens next to a name in some pattern: other places need no look at the patterns.
-        self.after, self.around = set(), set()
-        for k in self.name:
-            kind, _, rest = k.partition(" ")
-            left, _, right = rest.rpartition(" | ")
-            if kind == "R":
-                self.after.add(rest.split(" ")[0])
-            else:
-                self.around.add((left.split(" ")[-1], right.split(" ")[0]))
-
-    def type_of(self, page: Page, i: int, value: str) -> str:
-        shape = label_of(value)
-        votes: dict[str, float] = {}
-        for key in page.number_keys(i):
-            if key in self.number:
-                t, s = self.number[key]
-                votes[t] = votes.get(t, 0.0) + s
-        if shape in ("none", "id"):
-            return shape if not votes or shape in votes or shape == "none" else max(votes, key=votes.get)
-        if votes:
-            return max(votes, key=votes.get)
-        return shape or "none"
-
-    def find(self, text: str) -> list[tuple[str, int, int]]:
-        page = Page(text)
-        out: list[tuple[str, int, int]] = []
-        for i, k in enumerate(page.entity):
-            if k >= 0:
-                a, b, kind = page.spans[k]
-                t = self.type_of(page, i, text[a:b]) if kind == "number" else kind
-                if t != "none":
-                    out.append((t, a, b))
-        chosen: list[tuple[float, int, int]] = []
-        for i, token in enumerate(page.tokens):
-            if page.entity[i] >= 0:
-                continue
-            for j in page.names_from(i):
-                after = page.tokens[j] if j < len(page.tokens) else "<b>"
-                before = page.tokens[i - 1] if i else "<b>"
-                if after not in self.after and (before, after) not in self.around and after not in "/,":
-                    continue
-                keys = page.name_keys(i, j)
-                score = sum(self.name.get(k, 0.0) for k in keys)
-                block = page.block(j)
-                if not score and not block:
-                    continue
-                known_left = keys[0] in self.name or keys[1] in self.name
-                cased = page.cased(i, j)
-                if not cased and keys[0] not in self.name and keys[1] not in self.name and not block:
-                    continue
-                if cased and not page.begins(i, j) and not known_left:
-                    continue
-                a, b = i, j
-                if page.tokens[i] == "m" and page._initial(i) and page.right(j, 1) in _AFTER_M:
-                    a = i + 2
-                chosen.append((score + 4 * cased + 2 * known_left + (page.left(i, 1) in ("<b>", ":")) + 0.01 * (j - i), a, b))
-            if page.is_word[i] and self._addressed(page, i):
-                chosen.append((9.0, i, page._joined(i)))
-        used: list[tuple[int, int]] = []
-        for _, i, j in sorted(chosen, key=lambda c: (-c[0], c[1])):
-            if all(j <= x or y <= i for x, y in used):
-                used.append((i, j))
-                end = page.at[j - 1][1]
-                out.append(("name", page.at[i][0], end))
-        out += self._japanese(page)
-        return sorted(set(out), key=lambda s: (s[1], s[2]))
-
-    def _addressed(self, page: Page, i: int) -> bool:
-        """A family name right after a form of address."""
-        k = i - 1
-        if k >= 0 and page.raw(k) == "." and k > 0 and page.at[k - 1][1] == page.at[k][0]:
-            k -= 1
-        if k < 0 or page.tokens[k] not in FORMS:
-            return False
-        return page.raw(i)[0].isupper() or page.raw(k)[0].islower()
-
-    def _japanese(self, page: Page) -> list[tuple[str, int, int]]:
-        text, out = page.text, []
-        if not re.search("[㐀-鿿]", text):
-            return out
-        for m in JA_HONORED.finditer(text):
-            out.append(("name", *m.span(1)))
-        for a, _, kind in page.spans:
-            if kind == "address" and (m := JA_BLOCK.search(text[max(0, a - 14) : a])):
-                shift = max(0, a - 14)
-                out.append(("name", m.start(1) + shift, m.end(1) + shift))
+            seen = nodes.join(_votes(nodes, "keys", contexts), "id", "left").withColumn("c", F.coalesce("label", "type"))
+    # Words of names and silent contexts taught others; they decide nothing alone.
+    out = contexts.where(~F.substring("key", 1, 2).isin("wb", "wa", "wr"))
+    return out.unionByName(marks.where(F.substring("key", 1, 1).isin("n", "a")))
+
+
+class Gate:
+    """A Bloom filter of the codes of name contexts, of a size that is bounded."""
+
+    def __init__(self, size: int, words: dict[int, bytes]):
+        self.size = size
+        self.bits = np.zeros(size // 8, dtype=np.uint8)
+        for bucket, bitmap in words.items():
+            at = bucket * 4096
+            part = np.frombuffer(bitmap, dtype=np.uint8)
+            self.bits[at : at + len(part)] = part
+
+    def holds(self, codes: np.ndarray) -> np.ndarray:
+        out = np.ones(len(codes), dtype=bool)
+        for shift in (0, 28):
+            bit = (codes >> np.uint64(shift)) & np.uint64(self.size - 1)
+            out &= (self.bits[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
         return out
 
 
-def learned_patterns(df: DataFrame, text: str = "text", rounds: int = ROUNDS) -> DataFrame:
-    rows = cut_lineage(candidate_rows(df, text))
-    return number_patterns(rows, rounds).unionByName(name_patterns(rows, rounds))
-
-
-def _finder(df: DataFrame, text: str, rounds: int):
-    # Bounded by MIN_SHARE: each candidate supports three patterns.
-    rows = learned_patterns(df, text, rounds).collect()
-    return uuid.uuid4().hex, df.sparkSession.sparkContext.broadcast([tuple(r) for r in rows])
-
-
-#: The finder a worker holds, by the token of its patterns.
-_finders: dict[str, Finder] = {}
-
+def gate_of(patterns: DataFrame) -> Gate:
+    """Built in Spark as bitmaps; what comes to the driver is at most FILTER_MOST bits, whatever the patterns."""
+    names = patterns.where("gate is not null").select("gate")
+    size = 1 << 15
+    wanted = names.count() * FILTER_BITS
+    while size < min(wanted, FILTER_MOST):
+        size *= 2
+    bit = F.explode(F.array(*[F.shiftrightunsigned("gate", s).bitwiseAND(F.lit(size - 1).cast("bigint")) for s in (0, 28)])).alias("p")
+    bits = names.select(bit).select((F.col("p") + 1).alias("p"))
+    maps = bits.groupBy(F.bitmap_bucket_number("p").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("m"))
+    return Gate(size, {r.b - 1: bytes(r.m) for r in maps.toLocalIterator()})
+
+
+_gates: dict[str, Gate] = {}
+
+_FOUND = "rid bigint, kind string, seed string, sure boolean, start_pos int, end_pos int, cluster int, keys array<string>, cased boolean, begins boolean, lead boolean, width int"
+
+
+def _clusters(rows: list[list]) -> None:
+    """Numbers of groups of overlapping candidates of a text, set at place 5."""
+    rows.sort(key=lambda r: (r[3], r[4]))
+    reach, number = -1, 0
+    for r in rows:
+        if r[3] >= reach:
+            number += 1
+        reach = max(reach, r[4])
+        r[5] = number
+
+
+def _found(r: Reader, gate: Gate) -> dict[int, list[list]]:
+    """Text -> candidates that patterns may speak for: [kind, seed, sure, start, end, cluster, keys, cased, begins, lead, width]."""
+    out: dict[int, list[list]] = {}
+    s = r.s
+    for t, a, b, kind, seed, sure, marks, keys in r.shaped():
+        out.setdefault(t, []).append([kind, seed, sure, a, b, 0, [*keys, *marks], True, True, False, 0])
+
+    def say(kind, i, j, keys, cased=True, begins=True, lead=False, width=0):
+        t = int(s.owner[i])
+        x = int(s.base[t])
+        out.setdefault(t, []).append([kind, None, False, int(s.begin[i]) - x, int(s.end[j - 1]) - x, 0, keys, cased, begins, lead, width])
+
+    for f, i, j in r.addressed():
+        say("f", i, j, [f"f {s.show(f)}"])
+    i, j = r.names()
+    b, a, right = (gate.holds(g) for g in r.gates(i, j))
+    cased, begins = r.cased(i, j), r.begins(i, j)
+    ok = (b | a | right) & (s.owner[i] == s.owner[np.maximum(j - 1, 0)] if len(i) else False)
+    ok &= (cased & begins) | b | a
+    for x, y, c, g in zip(i[ok].tolist(), j[ok].tolist(), cased[ok].tolist(), begins[ok].tolist()):
+        first = x
+        if s.show(x) == "m" and s.show(y) in _AFTER_M and not s.word[x]:
+            first = x + 2
+        if first < y:
+            say("w", first, y, r.name_keys(x, y), c, g, s.show(x - 1) in ("<b>", ":"), y - x)
+    for rows in out.values():
+        _clusters(rows)
+    return out
 
-def _loaded(token: str, patterns) -> Finder:
-    if token not in _finders:
-        _finders.clear()
-        _finders[token] = Finder(patterns.value)
-    return _finders[token]
 
+def _applied(df: DataFrame, key: str, text: str, patterns: DataFrame) -> DataFrame:
+    """(rid, key, kind, ...) of all candidates of the second pass, cut off: their row numbers stay as they are."""
+    from pyspark import TaskContext
 
-def personal_spans(df: DataFrame, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
-    """(key, pii_type, start_pos, end_pos) in code points, end exclusive."""
-    token, patterns = _finder(df, text, rounds)
-    src = df.select(F.col(key).alias("k"), F.col(text).alias("t")).where(F.col("t").isNotNull() & (F.trim("t") != ""))
+    gate = gate_of(patterns)
+    token, shared = uuid.uuid4().hex, df.sparkSession.sparkContext.broadcast((gate.size, gate.bits))
+    src = _readable(df, key, text)
     kind = src.schema["k"].dataType.simpleString()
 
     def run(batches):
         import pyarrow as pa
 
-        finder = _loaded(token, patterns)
+        if token not in _gates:
+            _gates.clear()
+            g = _gates[token] = Gate(8, {})
+            g.size, g.bits = shared.value
+        row = TaskContext.get().partitionId() << 40
+        kinds = [pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.string()), pa.bool_(), pa.bool_(), pa.bool_(), pa.int32()]
         for batch in batches:
-            rows = [(n, *s) for n, t in enumerate(batch.column(1).to_pylist()) for s in finder.find(t)]
-            n, types, starts, ends = list(zip(*rows)) or [()] * 4
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(n, pa.int64())), pa.array(types, pa.string()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())],
-                names=[key, "pii_type", "start_pos", "end_pos"],
-            )
+            rows, owners = [], []
+            for start, r in _readers(batch.column(0)):
+                for t, found in _found(r, _gates[token]).items():
+                    owners += [start + t] * len(found)
+                    rows += [(row + start + t, *f) for f in found]
+            row += batch.num_rows
+            cols = list(zip(*rows)) or [()] * len(kinds)
+            columns = [pa.array(c, k) for c, k in zip(cols, kinds)]
+            yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(owners, pa.int64())), *columns], names=["k", *[f.split(" ")[0] for f in _FOUND.split(", ")]])
+
+    return cut_lineage(src.mapInArrow(run, f"k {kind}, {_FOUND}"))
+
+
+def _decided(found: DataFrame, patterns: DataFrame) -> DataFrame:
+    """(k, rid, pii_type, start_pos, end_pos): candidates that learned patterns speak for, without overlaps."""
+    at = ["rid", "start_pos", "end_pos", "kind"]
+    flat = found.where(F.size("keys") > 0).select(*at, F.explode("keys").alias("key"))
+    hit = flat.join(broadcast_if_small(patterns.select("key", "type", "score")), "key")
+    mark = F.substring("key", 2, 1).isin("#", " ") & F.substring("key", 1, 1).isin("n", "a")
+    sums = [F.sum(F.when(F.col("type") == t, F.col("score")).otherwise(0.0)).alias(f"t_{t}") for t in _TYPES]
+    votes = hit.groupBy(*at).agg(*sums, F.sum(F.when(mark, 0.0).otherwise(F.col("score"))).alias("near"), F.bool_or(F.substring("key", 1, 2).isin("wB", "wA")).alias("left"))
+    rows = found.join(votes, at, "left")
+    best = F.greatest(*[F.struct(F.col(f"t_{t}").alias("score"), F.lit(t).alias("type")) for t in ("phone", "id", "none")])
+    name = (F.col("t_name") > 0) & ((F.col("cased") & F.col("begins")) | F.col("left"))
+    kind = F.col("kind")
+    what = (
+        F.when(kind == "e", "email")
+        .when((kind == "n") & F.col("near").isNotNull(), best["type"])
+        .when((kind == "n") & F.col("sure"), F.col("seed"))
+        .when((kind == "a") & (F.col("t_address") > 0) & (F.col("seed").isNotNull() | (F.col("near") > 0)), "address")
+        .when((kind == "w") & name, "name")
+        .when(kind.isin("f", "j") & (F.col("t_name") > 0), "name")
+    )
+    rank = (
+        F.when(kind == "w", F.col("t_name") + 4 * F.col("cased").cast("int") + 2 * F.col("left").cast("int") + F.col("lead").cast("int") + 0.01 * F.col("width"))
+        .when(kind == "f", 9.0)
+        .otherwise(F.when(F.col("seed").isNotNull(), 100.0).otherwise(1.0))
+    )
+    rows = rows.withColumn("what", what).where("what is not null and what <> 'none'")
+    span = F.struct((-rank).alias("r"), F.col("start_pos").alias("a"), F.col("end_pos").alias("b"), F.col("what").alias("w"))
+    groups = rows.groupBy("rid", "cluster").agg(F.first("k").alias("k"), F.array_sort(F.collect_list(span)).alias("c"))
+    apart = lambda kept, c: F.forall(kept, lambda x: (c["b"] <= x["a"]) | (x["b"] <= c["a"]))
+    none = F.array().cast("array<struct<r:double,a:int,b:int,w:string>>")
+    kept = F.aggregate("c", none, lambda kept, c: F.when(apart(kept, c), F.concat(kept, F.array(c))).otherwise(kept))
+    out = groups.select("k", "rid", F.explode(kept).alias("s"))
+    return out.select("k", "rid", F.col("s.w").alias("pii_type"), F.col("s.a").alias("start_pos"), F.col("s.b").alias("end_pos"))
+
 
-    return src.mapInArrow(run, f"`{key}` {kind}, pii_type string, start_pos int, end_pos int")
+def personal_spans(df: DataFrame, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS, patterns: DataFrame | None = None) -> DataFrame:
+    """(key, pii_type, start_pos, end_pos) in code points, end exclusive. `patterns`, if given, are used as they are."""
+    if patterns is None:
+        patterns = cut_lineage(learned_patterns(df, text, rounds))
+    out = _decided(_applied(df, key, text, patterns), patterns)
+    return out.select(F.col("k").alias(key), "pii_type", "start_pos", "end_pos")
 
 
 def placeholder_text(text: str | None, spans: list[tuple[str, int, int]]) -> str | None:
@@ -496,18 +660,21 @@ def placeholder_text(text: str | None, spans: list[tuple[str, int, int]]) -> str
     return "".join([*out, text[at:]])
 
 
-def redacted(df: DataFrame, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
-    """(key, text): every text with its personal data replaced by typed placeholders."""
-    token, patterns = _finder(df, text, rounds)
-    src = df.select(F.col(key).alias("k"), F.col(text).alias("t"))
-    kind = src.schema["k"].dataType.simpleString()
-
-    def run(batches):
-        import pyarrow as pa
-
-        finder = _loaded(token, patterns)
-        for batch in batches:
-            texts = [placeholder_text(t, finder.find(t)) if t and t.strip() else t for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=[key, "text"])
+def redacted(df: DataFrame, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS, patterns: DataFrame | None = None) -> DataFrame:
+    """(key, text): every text with its personal data replaced by typed placeholders.
 
-    return src.mapInArrow(run, f"`{key}` {kind}, text string")
+    Spans are brought back by key and the hash of the text, so that a null or repeated key does no harm.
+    """
+    if patterns is None:
+        patterns = cut_lineage(learned_patterns(df, text, rounds))
+    rows = df.select(F.col(key).alias("k"), F.col(text).alias("t")).withColumn("h", F.sha2("t", 256))
+    src = rows.where(F.col("t").isNotNull()).select(F.struct("k", "h").alias("id"), "t")
+    spans = _decided(_applied(src, "id", "t", patterns), patterns)
+    span = F.struct(F.col("start_pos").alias("a"), F.col("end_pos").alias("b"), "pii_type")
+    # Spans of one text, however often it is delivered: as many as the text holds.
+    spans = spans.groupBy("k").agg(F.array_sort(F.collect_set(span)).alias("spans")).select(F.col("k.k").alias("_k"), F.col("k.h").alias("_h"), "spans")
+    joined = rows.join(spans, F.col("k").eqNullSafe(F.col("_k")) & (F.col("h") == F.col("_h")), "left")
+    step = lambda at, s: F.struct(F.concat(at["out"], F.substring(F.col("t"), at["at"] + 1, s["a"] - at["at"]), F.lit("["), F.upper(s["pii_type"]), F.lit("]")).alias("out"), s["b"].alias("at"))
+    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
+    done = F.aggregate("spans", start, step, lambda at: F.concat(at["out"], F.substring(F.col("t"), at["at"] + 1, F.lit(2147483647) - at["at"] - 1)))
+    return joined.select(F.col("k").alias(key), F.when(F.col("spans").isNull(), F.col("t")).otherwise(done).alias("text"))
