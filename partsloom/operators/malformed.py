@@ -1,12 +1,12 @@
 """Problem 2: split raw lines into rows and rejects with a reason.
 
-Blocks of lines go through a columnar parse (an Arrow CSV read of the joined block and
-vectorised value tests). A block that fails anywhere is halved until the parts pass or
-single only a few lines remain; the lines of such a leaf go to the strict parser, which names the
-reason, or finds the line good after all. Work per line is constant for clean blocks and
-grows with the logarithm of the block only around bad lines. (A leaf of some lines, not one:
-below that size a columnar read costs more than the strict parse of all its lines.) It is a narrow map: no
-shuffle, any number of bad lines, any skew of sources.
+A block of lines goes through a columnar path: one vectorised test of the whole block sets
+lines aside that can't have five fields, an Arrow CSV read parses the others in bulk, and
+vectorised tests of the values set aside those whose values can't be. A block whose read
+fails (a line break inside a line, say) is halved until the parts pass or one line is left. Only
+lines set aside and such single lines go to the strict parser, which names the reason
+or finds the line good after all: it sees the bad lines and hardly any other. It is a narrow
+map: no shuffle, any number of bad lines, any skew of sources.
 
 Reasons, tested in this order
     quoting  a field that starts with `"` isn't closed, or its close isn't followed by a tab or the end
@@ -20,7 +20,6 @@ line id stays null.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,11 +33,12 @@ QUANTITY = r"(?:AR|[0-9]{1,4})?"
 
 _ITEM = re.compile(ITEM)
 _QUANTITY = re.compile(QUANTITY)
-#: A line all of whose quoted fields close before a tab or the end, without line breaks.
-_QUOTING_OK = r'^(?:"(?:[^"\r\n]|"")*"|[^"\t\r\n][^\t\r\n]*)?(?:\t(?:"(?:[^"\r\n]|"")*"|[^"\t\r\n][^\t\r\n]*)?)*$'
+_FIELD = r'(?:"(?:[^"]|"")*"|[^"\t][^\t]*|)'
+#: A line of exactly five fields whose quoted ones close before a tab or the end.
+_FIVE = rf"(?s)^{_FIELD}(?:\t{_FIELD}){{4}}$"
 
-BLOCK = 512
-LEAF = 32
+#: Lines and bytes of a block.
+BLOCK, BLOCK_BYTES = 4096, 4_000_000
 
 
 def strict_fields(line: str) -> list[str] | None:
@@ -87,53 +87,80 @@ def diagnose(line: str | None) -> tuple[str | None, list[str] | None]:
     return (None, fields) if good_values(fields) else ("value", None)
 
 
-def parse_block(lines):
-    """The five columns of an Arrow string array by the columnar path, or None if anything is in doubt."""
+def bulk_fields(lines):
+    """The five columns of an Arrow array of lines that should hold five fields each, or None if the read fails.
+
+    An unquoted line break leaves a piece with fewer fields, so it always fails the read.
+    """
     import pyarrow as pa
-    import pyarrow.compute as pc
     from pyarrow import csv
 
-    if lines.null_count or not pc.all(pc.match_substring_regex(lines, _QUOTING_OK)).as_py():
-        return None
     # A first line of five fields keeps the reader's column count and row count fixed.
     text = "a\tb\tc\td\te\n" + "\n".join(lines.to_pylist()) + "\n"
     try:
         got = csv.read_csv(
             pa.BufferReader(text.encode()),
             read_options=csv.ReadOptions(use_threads=False, block_size=len(text) * 4 + 64),
-            parse_options=csv.ParseOptions(delimiter="\t", quote_char='"', double_quote=True, ignore_empty_lines=False),
+            parse_options=csv.ParseOptions(delimiter="\t", quote_char='"', double_quote=True, newlines_in_values=True, ignore_empty_lines=False),
             convert_options=csv.ConvertOptions(column_types=dict.fromkeys("abcde", pa.string()), strings_can_be_null=False, quoted_strings_can_be_null=False),
         )
     except pa.ArrowInvalid:
         return None
     if got.num_rows != len(lines):
         return None
-    columns = [c.combine_chunks() if c.num_chunks != 1 else c.chunk(0) for c in got.columns]
+    return [c.combine_chunks() if c.num_chunks != 1 else c.chunk(0) for c in got.columns]
+
+
+def well_valued(columns):
+    """Which rows of five columns have an item number and a quantity that can be one."""
+    import pyarrow.compute as pc
+
     item, part, quantity = (pc.utf8_trim_whitespace(columns[i]) for i in (0, 1, 4))
     item_ok = pc.if_else(pc.equal(item, ""), pc.not_equal(part, ""), pc.match_substring_regex(item, f"^(?:{ITEM})$"))
-    if not pc.all(pc.and_(item_ok, pc.match_substring_regex(quantity, f"^(?:{QUANTITY})$"))).as_py():
-        return None
-    return columns
+    return pc.and_(item_ok, pc.match_substring_regex(quantity, f"^(?:{QUANTITY})$"))
+
 
+def split_block(lines):
+    """(reasons, five columns, lines the strict parser saw) of an Arrow array of lines."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
 
-def _bisect(lines, start: int, length: int, leaf: int) -> Iterator[tuple[list, list]]:
-    """(reasons, five columns) of consecutive parts of the block, in order."""
-    stack = [(start, length)]
+    count = len(lines)
+    fits = pc.fill_null(pc.match_substring_regex(lines, _FIVE), False)
+    places = pc.indices_nonzero(fits)
+    strict = [pc.indices_nonzero(pc.invert(fits)).to_numpy()]
+    good, parsed = [], []
+    stack = [places] if len(places) else []
     while stack:
-        at, n = stack.pop()
-        part = lines.slice(at, n)
-        columns = parse_block(part)
+        at = stack.pop()
+        part = lines.take(at)
+        columns = bulk_fields(part) if len(at) == 1 or part.nbytes <= BLOCK_BYTES else None
         if columns is not None:
-            yield [None] * n, columns
-        elif n <= leaf:
-            found = [diagnose(x) for x in part.to_pylist()]
-            yield [r for r, _ in found], list(zip(*[f or (None,) * 5 for _, f in found]))
+            ok = well_valued(columns)
+            good.append(at.filter(ok).to_numpy())
+            parsed.append([c.filter(ok) for c in columns])
+            strict.append(at.filter(pc.invert(ok)).to_numpy())
+        elif len(at) > 1:
+            half = len(at) // 2
+            stack += [at.slice(half), at.slice(0, half)]
         else:
-            half = n // 2
-            stack += [(at + half, n - half), (at, half)]
-
-
-def split_lines_by_fault(df: DataFrame, line: str = "line", block: int = BLOCK, leaf: int = LEAF) -> DataFrame:
+            strict.append(at.to_numpy())
+    doubtful = np.sort(np.concatenate(strict)).astype(np.int64)
+    found = [diagnose(x) for x in lines.take(pa.array(doubtful)).to_pylist()]
+    # Where each line's row stands: behind the rows parsed in bulk come those of the strict parser.
+    order = np.concatenate([*good, doubtful]).astype(np.int64)
+    place = np.empty(count, dtype=np.int64)
+    place[order] = np.arange(count)
+    reasons = pa.array([None] * (count - len(found)) + [r for r, _ in found], pa.string()).take(pa.array(place))
+    columns = []
+    for i in range(5):
+        rest = pa.array([f[i] if f else None for _, f in found], pa.string())
+        columns.append(pa.concat_arrays([*[p[i] for p in parsed], rest]).take(pa.array(place)))
+    return reasons, columns, len(found)
+
+
+def split_lines_by_fault(df: DataFrame, line: str = "line", block: int = BLOCK) -> DataFrame:
     """`df` with `reason` (null for a good line) and the five fields (null for a bad one)."""
     keep = [c for c in df.columns if c not in {"reason", *FIELDS}]
     source = df.select(*keep)
@@ -146,13 +173,9 @@ def split_lines_by_fault(df: DataFrame, line: str = "line", block: int = BLOCK,
 
         for batch in batches:
             lines = batch.column(keep.index(line)).cast(pa.string())
-            reasons, fields = [], [[] for _ in FIELDS]
-            for start in range(0, len(lines), block):
-                for why, columns in _bisect(lines, start, min(block, len(lines) - start), leaf):
-                    reasons += why
-                    for out, c in zip(fields, columns):
-                        out.append(pa.array(c, pa.string()) if isinstance(c, tuple) else c)
-            new = [pa.array(reasons, pa.string()), *[pa.concat_arrays(f) if f else pa.array([], pa.string()) for f in fields]]
+            parts = [split_block(lines.slice(start, block)) for start in range(0, len(lines), block)]
+            new = [pa.concat_arrays([p[0] for p in parts] or [pa.array([], pa.string())])]
+            new += [pa.concat_arrays([p[1][i] for p in parts] or [pa.array([], pa.string())]) for i in range(5)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*keep, "reason", *FIELDS])
 
     return source.mapInArrow(run, schema)

@@ -1,7 +1,11 @@
+import os
 import random
 
+import pytest
+
 from partsloom.operators import malformed as M
 
+DATA = "/root/testdata/sf0.01"
 SCHEMA = "line_id bigint, line string, reason string, source string"
 
 
@@ -35,8 +39,8 @@ def test_blocks_agree_with_the_strict_parser(spark):
     lines = ["\t".join(rng.choice(parts) for _ in range(rng.choice([5, 5, 5, 5, 4, 6, 1]))) for _ in range(3000)]
     lines += [None, "", "x" * 300_000, "1\tP\t" + "y" * 300_000 + "\t\t2"]
     rows = [(i, x, "clash", None) for i, x in enumerate(lines)]
-    for block, leaf in ((512, 32), (64, 1)):
-        out = M.split_lines_by_fault(spark.createDataFrame(rows, SCHEMA).repartition(3), block=block, leaf=leaf).collect()
+    for block in (M.BLOCK, 64, 1):
+        out = M.split_lines_by_fault(spark.createDataFrame(rows, SCHEMA).repartition(3), block=block).collect()
         assert len(out) == len(rows)
         for r in out:
             why, fields = M.diagnose(lines[r.line_id])
@@ -44,6 +48,29 @@ def test_blocks_agree_with_the_strict_parser(spark):
             assert [r[f] for f in M.FIELDS] == (fields or [None] * 5)
 
 
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
+def test_strict_parser_sees_few_good_lines():
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    lines = pq.read_table(f"{DATA}/page_lines.parquet", columns=["line"])["line"].combine_chunks().cast(pa.string())
+    reasons, _, strict = M.split_block(lines)
+    bad = len(lines) - reasons.null_count
+    assert 0 < bad <= strict <= 2 * bad and strict < len(lines) / 4
+
+
+def test_bisection_isolates_a_broken_line():
+    import pyarrow as pa
+
+    good = ["1\tP\tD\tU\t2"] * 1000
+    for odd in ("1\tP\tD\nx\tU\t2", "1\tP\tD\tU\t2\n", "\r1\tP\tD\tU\t2", '1\tP\t"a\nb"\tU\t2'):
+        lines = good[:333] + [odd] + good + [odd]
+        reasons, columns, strict = M.split_block(pa.array(lines, pa.string()))
+        assert strict <= 2
+        assert reasons.to_pylist() == [M.diagnose(x)[0] for x in lines]
+        assert list(zip(*[c.to_pylist() for c in columns])) == [tuple(M.diagnose(x)[1] or (None,) * 5) for x in lines]
+
+
 def test_empty_table_and_rates(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert M.rejects(df).count() == 0
