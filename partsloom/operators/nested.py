@@ -5,8 +5,10 @@ A bottom-up tree automaton reads every metadata tree. Its symbols are the node l
 transition picks a node's state from the node's own kind and fields and from the states
 its children ended in. `compile_tree` turns the transition table into one JVM expression
 over VARIANT values, so a row is parsed once and every node leaves it with its state.
-`flat_tables` then explodes the annotated tree: a supertype table per level (keys, parent
-link, state, fields all variants share) and one typed subtype table per variant.
+Every node is routed by its state: `routed` gives the keys of chosen subtype tables in one
+scan, `flat_tables` the tables themselves, a supertype table per level (keys, parent link,
+state, fields all variants share), one typed subtype table per variant, and tables of the lists
+below elements and spans.
 
 Defined results
     null metadata, text that is not exactly one valid JSON value: no row
@@ -26,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partsloom.functions.text import let
+from partsloom.session import cut_lineage
 
 KEYS = ("pdf_id", "element_id")
 
@@ -71,34 +74,41 @@ def valid_json(text: Column) -> Column:
 class Transition:
     """A node of `level` enters `state` when `guard(own, kids)` holds; the first match wins.
 
-    `own` is the node's own symbol (span: its kind and whether it has font and refs; other
-    levels: `1` if its child field holds a single value), `kids` the array of child states.
+    `own` is the node's own symbol (a span: its kind and whether it has font and refs; other
+    levels: `1` if the child field holds a single value), `kids` the array of child states.
+    Nothing hangs below a node in a `leaf` state. A state with `+` stands for two: with its
+    level's optional group of fields (`OPTIONAL`) and without.
     """
 
     level: str
     state: str
     guard: Callable[[Column, Column], Column]
+    leaf: bool = False
 
 
 def _any(kids: Column, *names: str) -> Column:
-    return F.exists(kids, lambda s: s.isin(*names))
+    return F.exists(kids, lambda s: F.regexp_replace(s, _SUFFIX, "").isin(*names))
 
 
+#: The optional group of fields of a level and what a state that has it is called.
+OPTIONAL = {"line": ("_marked", "line_id"), "region": ("_boxed", "bbox"), "element": ("_placed", "coordinates")}
+_SUFFIX = "(?:" + "|".join(s for s, _ in OPTIONAL.values()) + ")$"
+
 #: The automaton.
 TRANSITIONS = (
-    Transition("span", "span_text", lambda own, kids: ~own.startswith("o")),
-    Transition("span", "span_font_refs", lambda own, kids: own == "ofr"),
-    Transition("span", "span_font", lambda own, kids: own == "of"),
-    Transition("span", "span_refs", lambda own, kids: own == "or"),
-    Transition("span", "span_plain", lambda own, kids: F.lit(True)),
-    Transition("line", "line_bare", lambda own, kids: F.size(kids) == 0),
+    Transition("span", "span_text", lambda own, kids: ~own.startswith("o"), leaf=True),
+    Transition("span", "span_font_refs", lambda own, kids: own == "ofr", leaf=True),
+    Transition("span", "span_font", lambda own, kids: own == "of", leaf=True),
+    Transition("span", "span_refs", lambda own, kids: own == "or", leaf=True),
+    Transition("span", "span_plain", lambda own, kids: F.lit(True), leaf=True),
+    Transition("line", "line_bare", lambda own, kids: F.size(kids) == 0, leaf=True),
     Transition("line", "line_of_one", lambda own, kids: own == "1"),
     Transition("line", "line_mixed", lambda own, kids: _any(kids, "span_text")),
     Transition("line", "line_linked", lambda own, kids: _any(kids, "span_refs", "span_font_refs")),
     Transition("line", "line_list", lambda own, kids: F.lit(True)),
-    Transition("region", "region_bare", lambda own, kids: F.size(kids) == 0),
+    Transition("region", "region_bare", lambda own, kids: F.size(kids) == 0, leaf=True),
     Transition("region", "region_of_one", lambda own, kids: own == "1"),
-    Transition("region", "region_blank", lambda own, kids: ~F.exists(kids, lambda s: s != "line_bare")),
+    Transition("region", "region_blank", lambda own, kids: ~F.exists(kids, lambda s: ~s.startswith("line_bare"))),
     Transition("region", "region_mixed", lambda own, kids: _any(kids, "line_mixed")),
     Transition("region", "region_list", lambda own, kids: F.lit(True)),
     Transition("element", "element_bare", lambda own, kids: F.size(kids) == 0),
@@ -107,14 +117,20 @@ TRANSITIONS = (
 )
 
 
-def _state(level: str, own: Column, children: Column | None = None) -> Column:
+def states(level: str, leaf: bool | None = None) -> list[str]:
+    """All states of a level; only those that are leaves, or not, where `leaf` says so."""
+    base = [t.state for t in TRANSITIONS if t.level == level and leaf in (None, t.leaf)]
+    return base + [s + OPTIONAL[level][0] for s in base if level in OPTIONAL]
+
+
+def _state(level: str, own: Column, children: Column | None = None, option: Column | None = None) -> Column:
     kids = F.array().cast("array<string>") if children is None else F.transform(children, lambda c: c["state"])
     out = None
     for t in TRANSITIONS:
         if t.level == level:
             cond = t.guard(own, kids)
             out = F.when(cond, t.state) if out is None else out.when(cond, t.state)
-    return out
+    return out if option is None else F.concat(out, F.when(_present(option), OPTIONAL[level][0]).otherwise(""))
 
 
 def _single(field: Column) -> Column:
@@ -127,68 +143,87 @@ def _numbered(values: Column, build: Callable[[Column, Column], Column]) -> Colu
     return F.filter(built, lambda e: e.isNotNull())
 
 
-def _span(no: Column, v: Column) -> Column:
+def _span(no: Column, v: Column, full: bool) -> Column:
     def build(kind: Column, font: Column, refs: Column) -> Column:
         own = F.concat(kind, F.when(_present(font), "f").otherwise(""), F.when(_present(refs), "r").otherwise(""))
+        node = [no.alias("span_no"), _state("span", own).alias("state")]
+        if not full:
+            return F.struct(*node)
+        ref = lambda n, r: F.struct(n.alias("ref_no"), _get(r, "$.fig", "int").alias("fig"), _get(r, "$.item", "int").alias("item"))
         return F.struct(
-            no.alias("span_no"),
-            _state("span", own).alias("state"),
+            *node,
             F.when(kind == "o", _get(v, "$.text", "string")).otherwise(_get(v, "$", "string")).alias("text"),
             _get(v, "$.conf", "double").alias("conf"),
             _get(font, "$.name", "string").alias("font_name"),
             _get(font, "$.size", "double").alias("font_size"),
-            F.to_json(refs).alias("refs"),
+            _numbered(items(refs), ref).alias("refs"),
         )
 
     return let(_kind(v), lambda k: let(_get(v, "$.font"), lambda f: let(_get(v, "$.refs"), lambda r: build(k, f, r))))
 
 
-def _line(no: Column, v: Column) -> Column:
+def _line(no: Column, v: Column, full: bool) -> Column:
     def build(field: Column, spans: Column) -> Column:
-        return F.struct(
-            no.alias("line_no"),
-            _state("line", _single(field), spans).alias("state"),
-            _get(v, "$.line_id", "string").alias("line_id"),
-            _get(v, "$.baseline", "double").alias("baseline"),
-            spans.alias("spans"),
-        )
+        node = [no.alias("line_no"), _state("line", _single(field), spans, _get(v, "$.line_id")).alias("state"), spans.alias("spans")]
+        own = [_get(v, "$.line_id", "string").alias("line_id"), _get(v, "$.baseline", "double").alias("baseline")]
+        return F.struct(*node, *(own if full else []))
 
-    return let(_get(v, "$.spans"), lambda f: let(_numbered(items(f), _span), lambda spans: build(f, spans)))
+    span = lambda n, x: _span(n, x, full)
+    return let(_get(v, "$.spans"), lambda f: let(_numbered(items(f), span), lambda spans: build(f, spans)))
 
 
-def _region(no: Column, v: Column) -> Column:
+def _region(no: Column, v: Column, full: bool) -> Column:
     def build(field: Column, lines: Column) -> Column:
-        return F.struct(
-            no.alias("region_no"),
-            _state("region", _single(field), lines).alias("state"),
+        node = [no.alias("region_no"), _state("region", _single(field), lines, _get(v, "$.bbox")).alias("state"), lines.alias("lines")]
+        own = [
             _get(v, "$.region_id", "string").alias("region_id"),
             _get(v, "$.kind", "string").alias("kind"),
             _get(v, "$.score", "double").alias("score"),
             *[_get(v, f"$.bbox.{k}", "double").alias(f"bbox_{k}") for k in "xywh"],
-            lines.alias("lines"),
-        )
+        ]
+        return F.struct(*node, *(own if full else []))
 
-    return let(_get(v, "$.lines"), lambda f: let(_numbered(items(f), _line), lambda lines: build(f, lines)))
+    line = lambda n, x: _line(n, x, full)
+    return let(_get(v, "$.lines"), lambda f: let(_numbered(items(f), line), lambda lines: build(f, lines)))
 
 
-def _element(m: Column) -> Column:
-    def build(field: Column, regions: Column) -> Column:
+def _element(m: Column, full: bool) -> Column:
+    def build(layout: Column, field: Column, regions: Column) -> Column:
+        node = [_state("element", _single(field), regions, _get(m, "$.coordinates")).alias("state"), regions.alias("regions")]
+        if not full:
+            return F.struct(*node)
+        language = lambda n, x: F.struct(n.alias("language_no"), _get(x, "$", "string").alias("language"))
+        point = lambda n, x: F.struct(n.alias("point_no"), _get(x, "$[0]", "double").alias("x"), _get(x, "$[1]", "double").alias("y"))
+        step = lambda n, x: F.struct(n.alias("step_no"), _get(x, "$.name", "string").alias("name"), _get(x, "$.ms", "double").alias("ms"))
         return F.struct(
-            _state("element", _single(field), regions).alias("state"),
+            *node,
             _get(m, "$.page_number", "double").cast("int").alias("page_number"),
             _get(m, "$.parent_id", "string").alias("parent_id"),
             _get(m, "$.filename", "string").alias("filename"),
-            regions.alias("regions"),
+            _get(m, "$.coordinates.system.name", "string").alias("system_name"),
+            _get(m, "$.coordinates.system.width", "double").alias("system_width"),
+            _get(m, "$.coordinates.system.height", "double").alias("system_height"),
+            _get(m, "$.provenance.engine", "string").alias("engine"),
+            _get(layout, "$.version", "string").alias("layout_version"),
+            _numbered(items(_get(m, "$.languages")), language).alias("languages"),
+            _numbered(items(_get(m, "$.coordinates.points")), point).alias("points"),
+            _numbered(items(_get(m, "$.provenance.steps")), step).alias("steps"),
         )
 
     some = lambda v: F.when(_present(v), v)
-    in_text = lambda: F.try_parse_json(_get(m, "$.layout", "string"))
-    field = F.coalesce(some(_get(m, "$.regions")), some(_get(m, "$.layout.regions")), some(_get(in_text(), "$.regions")))
-    return let(field, lambda f: let(_numbered(items(f), _region), lambda regions: build(f, regions)))
+    region = lambda n, x: _region(n, x, full)
+    in_text = F.try_parse_json(_get(m, "$.layout", "string"))
+    layout = F.when(_kind(_get(m, "$.layout")) == "s", in_text).otherwise(_get(m, "$.layout"))
+
+    def within(lay: Column) -> Column:
+        field = F.coalesce(some(_get(m, "$.regions")), some(_get(lay, "$.regions")))
+        return let(field, lambda f: let(_numbered(items(f), region), lambda regions: build(lay, f, regions)))
 
+    return let(layout, within)
 
-def _tree(df: DataFrame, column: str, keys: tuple[str, ...]) -> DataFrame:
-    read = let(valid_json(F.col(column)), lambda m: F.when(m.isNotNull(), _element(m)))
+
+def _tree(df: DataFrame, column: str, keys: tuple[str, ...], full: bool = True) -> DataFrame:
+    read = let(valid_json(F.col(column)), lambda m: F.when(m.isNotNull(), _element(m, full)))
     return df.select(*keys, read.alias("_e"))
 
 
@@ -203,67 +238,109 @@ def compile_tree(df: DataFrame, column: str = "metadata", keys: tuple[str, ...]
     return _tree(df, column, keys).select(*keys, "_e.*").where(F.col("state").isNotNull())
 
 
-def element_rows(df: DataFrame, column: str = "metadata", keys: tuple[str, ...] = KEYS) -> DataFrame:
-    """One row per node that ends a path: (keys, region_no, line_no, span_no), -1 where a level is empty.
+def _nodes(e: Column, wanted: list[str]) -> Column:
+    """Positions and states of a tree's nodes in the wanted states, in one array."""
+
+    def node(level: str, state: Column, *at: Column) -> Column:
+        places = [*at, *[F.lit(-1)] * (3 - len(at))]
+        return F.struct(F.lit(level).alias("level"), state.alias("state"), *[p.alias(n) for p, n in zip(places, ("region_no", "line_no", "span_no"))])
+
+    def of_line(r: Column, ln: Column) -> Column:
+        spans = F.transform(ln["spans"], lambda s: node("spans", s["state"], r["region_no"], ln["line_no"], s["span_no"]))
+        return F.concat(F.array(node("lines", ln["state"], r["region_no"], ln["line_no"])), spans)
+
+    def of_region(r: Column) -> Column:
+        return F.concat(F.array(node("regions", r["state"], r["region_no"])), F.flatten(F.transform(r["lines"], lambda ln: of_line(r, ln))))
+
+    every = F.concat(F.array(node("elements", e["state"])), F.flatten(F.transform(e["regions"], of_region)))
+    return F.filter(every, lambda n: n["state"].isin(*wanted))
 
-    Only positions are shuffled, to bring elements delivered again down to one copy; the
+
+def routed(df: DataFrame, wanted: list[str], column: str = "metadata", keys: tuple[str, ...] = KEYS) -> DataFrame:
+    """(keys, level, state, region_no, line_no, span_no) of the nodes the automaton sends to the wanted
+    states, once each: the keys of these states' subtype tables, from one scan and one parse.
+
+    Only positions and states are shuffled, to bring elements delivered again down to one copy; the
     aggregation combines before the shuffle, and the key is the full path, so a large
     manual spreads over all partitions.
     """
-    r = _explode(_tree(df, column, keys), "_e.regions", "r", *keys)
-    ln = r.select(*keys, F.col("r.region_no").alias("region_no"), F.explode_outer("r.lines").alias("l"))
-    sp = ln.select(*keys, "region_no", F.coalesce("l.line_no", F.lit(-1)).alias("line_no"), F.explode_outer("l.spans").alias("s"))
-    return sp.select(*keys, "region_no", "line_no", F.coalesce("s.span_no", F.lit(-1)).alias("span_no")).distinct()
+    nodes = let(F.col("_e"), lambda e: F.when(e.isNotNull(), _nodes(e, wanted)))
+    rows = _explode(_tree(df, column, keys, full=False).select(*keys, nodes.alias("_n")), "_n", "n", *keys)
+    return rows.select(*keys, "n.*").distinct()
+
+
+def element_rows(df: DataFrame, column: str = "metadata", keys: tuple[str, ...] = KEYS) -> DataFrame:
+    """One row per node that ends a path: (keys, region_no, line_no, span_no), -1 where a level is empty.
+
+    It is the union of the keys of the subtype tables of all leaf states: spans of every
+    variant, bare lines and bare regions.
+    """
+    leaves = [s for level in ("span", "line", "region") for s in states(level, leaf=True)]
+    return routed(df, leaves, column, keys).select(*keys, "region_no", "line_no", "span_no")
 
 
 @dataclass(frozen=True)
 class FlatTables:
-    """Supertype tables; `subtype` gives the typed table of one structural variant."""
+    """Supertype tables and child tables; `subtype` gives the typed table of one structural variant."""
 
     elements: DataFrame
     regions: DataFrame
     lines: DataFrame
     spans: DataFrame
-
-    #: Columns that only some variants of a level have.
-    OWN = {
-        "span_text": ("text",),
-        "span_plain": ("text", "conf"),
-        "span_font": ("text", "conf", "font_name", "font_size"),
-        "span_refs": ("text", "conf", "refs"),
-        "span_font_refs": ("text", "conf", "font_name", "font_size", "refs"),
+    refs: DataFrame
+    languages: DataFrame
+    points: DataFrame
+    steps: DataFrame
+
+    #: Columns that only some variants of a level have: those of an optional group, those of a span's kind.
+    GROUPS = {
+        "element": ("system_name", "system_width", "system_height"),
+        "region": ("bbox_x", "bbox_y", "bbox_w", "bbox_h"),
+        "line": ("line_id",),
+        "span": ("conf", "font_name", "font_size"),
     }
+    SPANS = {"span_text": (), "span_plain": ("conf",), "span_refs": ("conf",), "span_font": ("conf", "font_name", "font_size"), "span_font_refs": ("conf", "font_name", "font_size")}
 
     def subtype(self, state: str) -> DataFrame:
+        """The nodes of one state with the columns that state has; a span's refs are in `refs`."""
         level = state.partition("_")[0]
+        if state not in states(level):
+            raise ValueError(f"no state {state!r}")
+        own = self.SPANS[state] if level == "span" else self.GROUPS[level] if state.endswith(OPTIONAL[level][0]) else ()
         source = getattr(self, f"{level}s")
-        rows = source.where(F.col("state") == state)
-        if level != "span":
-            return rows.drop("state")
-        keys = [c for c in source.columns if c not in {"state", "text", "conf", "font_name", "font_size", "refs"}]
-        return rows.select(*keys, *self.OWN[state])
+        drop = {"state", *self.GROUPS[level]} - set(own)
+        return source.where(F.col("state") == state).select(*[c for c in source.columns if c not in drop])
 
 
-def flat_tables(df: DataFrame, column: str = "metadata", keys: tuple[str, ...] = KEYS) -> FlatTables:
-    """Elements, regions, lines and spans; a child carries the keys of all its ancestors."""
+def flat_tables(df: DataFrame, column: str = "metadata", keys: tuple[str, ...] = KEYS, stage: bool = False) -> FlatTables:
+    """Elements, regions, lines, spans and their lists; a child carries the keys of all its ancestors.
+
+    With `stage`, the parsed trees are written once (to the checkpoint folder) and all
+    tables read them; without, each table that is used parses for itself.
+    """
     tree = _tree(df, column, keys)
-    elements = tree.select(*keys, "_e.*").where(F.col("state").isNotNull()).drop("regions").dropDuplicates(list(keys))
+    tree = cut_lineage(tree) if stage else tree
+    region, line, span = [*keys, "region_no"], [*keys, "region_no", "line_no"], [*keys, "region_no", "line_no", "span_no"]
+
+    def children(parent: DataFrame, array: str, at: list[str], number: str) -> DataFrame:
+        return _explode(parent, array, "_x", *at).select(*at, "_x.*").dropDuplicates([*at, number])
+
     r = _explode(tree, "_e.regions", "r", *keys).select(*keys, "r.*")
-    ln = _explode(r, "lines", "l", *keys, "region_no").select(*keys, "region_no", "l.*")
-    sp = _explode(ln, "spans", "s", *keys, "region_no", "line_no").select(*keys, "region_no", "line_no", "s.*")
+    ln = _explode(r, "lines", "l", *region).select(*region, "l.*")
+    sp = _explode(ln, "spans", "s", *line).select(*line, "s.*")
     return FlatTables(
-        elements,
-        r.drop("lines").dropDuplicates([*keys, "region_no"]),
-        ln.drop("spans").dropDuplicates([*keys, "region_no", "line_no"]),
-        sp.dropDuplicates([*keys, "region_no", "line_no", "span_no"]),
+        tree.select(*keys, "_e.*").where(F.col("state").isNotNull()).drop("regions", "languages", "points", "steps").dropDuplicates(list(keys)),
+        r.drop("lines").dropDuplicates(region),
+        ln.drop("spans").dropDuplicates(line),
+        sp.drop("refs").dropDuplicates(span),
+        children(sp, "refs", span, "ref_no"),
+        children(tree, "_e.languages", list(keys), "language_no"),
+        children(tree, "_e.points", list(keys), "point_no"),
+        children(tree, "_e.steps", list(keys), "step_no"),
     )
 
 
 def variant_counts(df: DataFrame, column: str = "metadata", keys: tuple[str, ...] = KEYS) -> DataFrame:
     """How many nodes of each level ended in each state."""
-    t = flat_tables(df, column, keys)
-    out = None
-    for level in ("elements", "regions", "lines", "spans"):
-        part = getattr(t, level).select(F.lit(level).alias("level"), "state")
-        out = part if out is None else out.unionByName(part)
-    return out.groupBy("level", "state").agg(F.count("*").alias("n"))
+    every = [s for level in ("element", "region", "line", "span") for s in states(level)]
+    return routed(df, every, column, keys).groupBy("level", "state").agg(F.count("*").alias("n"))

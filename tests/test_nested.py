@@ -88,6 +88,42 @@ def test_states_and_subtypes(spark):
     assert t.elements.count() == 2  # null keys are a manual of their own
 
 
+def test_rows_come_from_the_subtype_tables(spark, monkeypatch):
+    """The leaves' subtype tables hold the rows; another automaton gives other rows."""
+    rng = random.Random(2)
+    df = spark.createDataFrame([(f"d{i % 3}", f"e{i}", random_meta(rng), "s", "x") for i in range(120)], SCHEMA)
+    t = N.flat_tables(df, stage=True)
+    got = set()
+    for level in ("span", "line", "region"):
+        for state in N.states(level, leaf=True):
+            names = t.subtype(state).columns
+            got |= {(r.pdf_id, r.element_id, *[r[c] if c in names else -1 for c in ("region_no", "line_no", "span_no")]) for r in t.subtype(state).collect()}
+    before = {tuple(r) for r in N.element_rows(df).collect()}
+    assert got == before
+    monkeypatch.setattr(N, "TRANSITIONS", tuple(x for x in N.TRANSITIONS if x.state != "line_bare"))
+    after = {tuple(r) for r in N.element_rows(df).collect()}
+    assert after < before and before - after == {r for r in before if r[3] >= 0 and r[4] < 0}
+
+
+def test_lists_and_optional_fields(spark):
+    meta = {
+        "languages": ["eng", None, "deu"],
+        "coordinates": {"points": [[1, 2], [3.5, 4]], "system": {"name": "P", "width": 10}},
+        "provenance": {"engine": "fast", "steps": {"name": "ocr", "ms": 5}},
+        "layout": json.dumps({"version": "2", "regions": [{"bbox": {"x": 1}, "lines": [{"line_id": "L", "spans": [{"text": "a", "refs": [{"fig": 1, "item": 2}, None, {"fig": 3}]}]}]}]}),
+    }
+    t = N.flat_tables(spark.createDataFrame([("d", "e", json.dumps(meta), None, None)] * 2, SCHEMA))
+    rows = lambda df: sorted(tuple(r)[2:] for r in df.collect())
+    assert rows(t.languages) == [(0, "eng"), (2, "deu")]
+    assert rows(t.points) == [(0, 1.0, 2.0), (1, 3.5, 4.0)]
+    assert rows(t.steps) == [(0, "ocr", 5.0)]
+    assert rows(t.refs) == [(0, 0, 0, 0, 1, 2), (0, 0, 0, 2, 3, None)]
+    e = t.elements.first()
+    assert (e.state, e.system_name, e.engine, e.layout_version) == ("element_list_placed", "P", "fast", "2")
+    assert t.subtype("region_list_boxed").first().bbox_x == 1.0 and "bbox_x" not in t.subtype("region_list").columns
+    assert t.subtype("line_linked_marked").first().line_id == "L"
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert N.element_rows(df).count() == 0
