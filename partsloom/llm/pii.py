@@ -100,7 +100,7 @@ _GAP = r"(?:\)?[  .\-/]\(?|\)\(?|\()"
 NUMBER = re.compile(
     rf"(?<![A-Za-z0-9])(?:\d{{8}}[ \-]?[A-Za-z]{_E}"
     rf"|(?=[A-Za-z]*+[0-9\-])(?=[0-9\-]*+[A-Za-z])[A-Za-z0-9]++(?:-[A-Za-z0-9]++)*+"
-    rf"|(?<![+(])[+(]{{0,2}}\d++(?:{_GAP}\d++)*{_E})"
+    rf"|(?<![+(])(?=[+(]{{0,2}}\d(?:[  ().\-/]{{0,3}}\d){{4}})[+(]{{0,2}}\d++(?:{_GAP}\d++)*{_E})"
 )
 _JA_SUR, _JA_GIVEN = r"[㐀-鿿々ヶケ]{2,3}", r"(?:[㐀-鿿々]{1,3}|[ぁ-ゖ]{2,8}?|[ァ-ヺ]{2,8})"
 JA_HONORED = re.compile(rf"(?<![㐀-鿿々ヶケ])({_JA_SUR}[ 　]?{_JA_GIVEN})(?:さん|様|氏)")
@@ -117,6 +117,8 @@ _MAY_ADDRESS = (
 )
 _MAY_STREETLIKE = r"[0-9][a-z]?\s[A-ZÀ-Þ]\p{Ll}\S*\s[A-ZÀ-Þ]\p{Ll}|[^\s.!?][ \t][A-ZÀ-Þ]\p{Ll}\S*[ \t][0-9]"
 _MAY_JAPANESE = r"[㐀-鿿]{2}"
+#: What a text without any of these must hold to teach something: two capitalised words or a form of address.
+_MAY_TEACH = rf"\p{{Lu}}[\p{{L}}\p{{M}}'’\-]*(?:,\s*|\.\s*|\s+|-)\p{{Lu}}|(?i:{'|'.join(FORMS)})"
 
 _WORD = re.compile(rf"{_L}+")
 _MANY = 5, 8, 6  # digits of a number that is a candidate; of one that is folded to a token; of one with letters
@@ -393,11 +395,17 @@ def _chunks(texts: list[str], flags: list[tuple[bool, ...]]):
         yield start, Reader(texts[start:], flags[start:])
 
 
-def _readers(column):
-    """(place of the first text, reader) over an Arrow column of texts."""
+def _readers(column, teaching: bool = False):
+    """(place of the first text, reader) over an Arrow column of texts; with `teaching` only of those that can teach."""
     import pyarrow.compute as pc
 
-    shapes = [pc.match_substring_regex(column, p).to_pylist() for p in (_MAY_EMAIL, _MAY_NUMBER, _MAY_ADDRESS, _MAY_STREETLIKE, _MAY_JAPANESE)]
+    shapes = [pc.match_substring_regex(column, p) for p in (_MAY_EMAIL, _MAY_NUMBER, _MAY_ADDRESS, _MAY_STREETLIKE, _MAY_JAPANESE)]
+    if teaching:
+        useful = pc.match_substring_regex(column, _MAY_TEACH)
+        for s in shapes:
+            useful = pc.or_(useful, s)
+        column, shapes = column.filter(useful), [s.filter(useful) for s in shapes]
+    shapes = [s.to_pylist() for s in shapes]
     yield from _chunks(column.to_pylist(), list(zip(*shapes)))
 
 
@@ -422,7 +430,7 @@ def candidate_rows(df: DataFrame, text: str = "text") -> DataFrame:
         kinds = [pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.string()), pa.list_(pa.int64())]
         for batch in batches:
             rows = []
-            for _, r in _readers(batch.column(0)):
+            for _, r in _readers(batch.column(0), teaching=True):
                 rows += [(kind, label, marks, keys, []) for _, _, _, kind, label, _, marks, keys in r.shaped() if keys]
                 rows += [("f", "name", r.words_of(i, j), [f"f {r.s.show(f)}"], []) for f, i, j in r.addressed()]
                 i, j = r.names()

@@ -129,8 +129,7 @@ class Stream:
             folded[x] = FOLDED[what]
         begin = np.flatnonzero(starts)
         end = np.append(begin[1:], len(kind))
-        run = np.cumsum(starts) - 1
-        place = np.arange(len(kind)) - begin[run]
+        place = np.arange(len(kind), dtype=np.int32) - np.repeat(begin, end - begin).astype(np.int32)
         powers = np.full(int(place.max()) + 1 if len(place) else 1, 0xD6E8FEB86659FD93, dtype=np.uint64)
         powers[0] = 1
         powers = np.multiply.accumulate(powers)
