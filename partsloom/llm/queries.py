@@ -21,7 +21,7 @@ def p6_decoded(spark, d):
 
 
 QUERIES = {
-    "p3_found": lambda s, d: truncation.truncated(_page_n(s, d)).select("row_id"),
+    "p3_found": lambda s, d: truncation.truncated(_page_n(s, d).select("row_id", "source", "description")).select("row_id"),
     "p3_rates": lambda s, d: truncation.truncation_rates(_page_n(s, d)),
     "p4_found": lambda s, d: duplicates.copies(_page_n(s, d)),
     "p4_counts": lambda s, d: duplicates.copy_counts(_page_n(s, d)),

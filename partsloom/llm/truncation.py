@@ -16,12 +16,18 @@ last word is and the longer copies are fewer. Any last phrase is cut when `n` is
 with digits are tested a second time with every digit masked, so that a size cut before its
 unit is found though the size itself is rare.
 
+A source that cuts at a field limit shows it: among its distinct values of that length at
+least `SPIKE` are cut by these tests. Values of that source and length are tested again with
+the occurrences at such places left out of `n`, so that a common cut at a word boundary (one
+value in twenty, say) is found where the limit explains it.
+
 A value is cut, too, when it stops at a comma, semicolon, slash, ampersand or opening
 parenthesis, or inside a parenthesis that others close.
 
-Both joins are on the phrase, after partial aggregation; a hot phrase is one row there. The
-flagged phrases are brought back to the rows by a broadcast if counted to be few, else by a
-shuffled join under adaptive skew handling.
+Values are folded once and staged with their rows. The joins that find phrases run on
+distinct phrases, after partial aggregation; a hot phrase is one row there. The flagged
+phrases are brought back to the rows by a broadcast if measured to be few, else by a join that
+salts hot phrases.
 
 Defined results: null and blank values are no cases; values without a letter or digit are no
 cases; a value of any length is read whole; rows with equal values have equal results.
@@ -32,13 +38,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from partsloom.session import broadcast_if_small, cut_lineage, fresh_names
+from partsloom.session import BROADCAST_BYTES, BROADCAST_ROWS, broadcast_if_small, cut_lineage, fresh_names, join_hot, measured
 
 #: A phrase at most this often itself, against longer phrases that begin with it, is a cut one.
 #: Masked phrases are common, so their share must be smaller.
 RATIO, MASKED_RATIO = 0.03, 0.01
-#: Prefixes up to this length are all hashed; beyond it those lengths at which a value ends.
+#: Prefixes up to this length are all hashed; beyond it those at which a value with the same beginning ends.
 DENSE = 64
+#: A length is a source's field limit when this share of its distinct values of that length, and so many, are cut.
+SPIKE, SPIKE_VALUES = 0.5, 10
 
 _TAIL = r"[\s.…\uFFFD]+$"
 _SPLIT = r"[,;()]+|(?<!\b[Nn][Oo])\.[\s ]+"
@@ -76,11 +84,21 @@ def dangling(value: Column) -> Column:
     return t.rlike(_DANGLING) | opened
 
 
-def phrase_weights(df: DataFrame, value: str) -> DataFrame:
-    """(words, phrase, n, ends): every distinct phrase and masked phrase (with a leading `#`), in how many distinct values it
-    stands, and in how many of these at the end. `words` is the phrase with spaces between its words."""
-    values = df.select(F.array_join(_spaced(F.col(value)), ",").alias("v")).where("v <> ''").distinct()
-    ps = values.select(F.split("v", ",").alias("ps"))
+def folded_rows(df: DataFrame, value: str, source: str | None) -> tuple[DataFrame, dict[str, str]]:
+    """A stage of the rows with their folded phrases (joined by commas), last phrase, length and source; the names of these columns."""
+    names = dict(zip(("v", "p", "m", "l", "s", "d"), fresh_names(df, "_v", "_p", "_m", "_l", "_s", "_d")))
+    v, p = names["v"], names["p"]
+    rows = df.where(F.col(value).isNotNull()).withColumn(v, F.array_join(_spaced(F.col(value)), ",")).where(F.col(v) != "")
+    rows = rows.withColumn(p, _joined(F.substring_index(v, ",", -1)))
+    rows = rows.withColumn(names["m"], F.when(F.col(p).rlike(r"\p{N}"), F.concat(F.lit("#"), _masked(F.col(p)))))
+    rows = rows.withColumn(names["l"], F.length(F.col(value))).withColumn(names["s"], F.col(source).cast("string") if source else F.lit(None).cast("string"))
+    return cut_lineage(rows.withColumn(names["d"], dangling(F.col(value)))), names
+
+
+def phrase_weights(values: DataFrame) -> DataFrame:
+    """(words, phrase, n, ends): every distinct phrase and masked phrase (with a leading `#`), in how many of the distinct folded
+    values `v` it stands, and in how many of these at the end. `words` is the phrase with spaces between its words."""
+    ps = values.select("v").distinct().select(F.split("v", ",").alias("ps"))
     tagged = F.transform("ps", lambda p, i: F.struct(p.alias("words"), (i == F.size("ps") - 1).alias("last")))
     plain = ps.select(F.explode(tagged).alias("p")).select("p.*").groupBy("words").agg(F.count("*").alias("n"), F.count_if("last").alias("ends"))
     plain = cut_lineage(plain)
@@ -98,15 +116,17 @@ def prefix_self_join(weights: DataFrame) -> DataFrame:
     """(phrase, tail, n, ends, ext, mid, stands) of the phrases in which a value ends and that begin longer phrases.
 
     Of the `ext` longer copies, `mid` go on inside a word and `stands` after a whole word; `tail` is the last word.
+    Phrases beyond DENSE characters are cut only at lengths at which a value with the same first
+    DENSE characters ends; these lengths are a table that is joined, not a list on the driver.
     """
     length = F.length("phrase")
-    long_ends = weights.where((F.col("ends") > 0) & (length > DENSE)).select(length.alias("l")).distinct()
-    far = sorted(r[0] for r in long_ends.collect())  # distinct lengths, not rows
-    lengths = F.sequence(F.lit(1), F.least(length - 1, F.lit(DENSE)))
-    if far:
-        lengths = F.concat(lengths, F.filter(F.array(*map(F.lit, far)), lambda x: x < length))
+    start = F.substring("phrase", 1, DENSE)
     edges = F.aggregate(F.split("words", " "), F.array(F.lit(0)), lambda a, w: F.concat(a, F.array(F.element_at(a, -1) + F.length(w))))
-    parts = weights.where(length > 1).select("phrase", "n", edges.alias("edges"), F.explode(lengths).alias("l"))
+    cuts = weights.where((F.col("ends") > 0) & (length > DENSE)).select(start.alias("start"), length.alias("l")).distinct()
+    cols = ["phrase", "n", edges.alias("edges")]
+    near = weights.where(length > 1).select(*cols, F.explode(F.sequence(F.lit(1), F.least(length - 1, F.lit(DENSE)))).alias("l"))
+    far = weights.where(length > DENSE + 1).select(*cols, start.alias("start")).join(cuts, "start").where(F.col("l") < length).drop("start")
+    parts = near.unionByName(far)
     edge = F.array_contains(F.col("edges"), F.col("l"))
     inside = ~edge & F.substring(F.col("phrase"), F.col("l"), F.lit(2)).rlike(r"^\p{L}{2}$")
     ext = parts.groupBy(_prefix(F.col("phrase"), F.col("l")).alias("key")).agg(
@@ -124,35 +144,64 @@ def standing_words(weights: DataFrame) -> DataFrame:
     return words.groupBy("tail").agg(F.sum(inner).alias("known")).where("known > 0")
 
 
-def cut_phrases(df: DataFrame, value: str, ratio: float = RATIO, masked_ratio: float = MASKED_RATIO) -> DataFrame:
-    """Phrases (plain and masked) that end values only where these were cut."""
-    weights = phrase_weights(df, value)
+def weighed_phrases(weights: DataFrame, ratio: float = RATIO, masked_ratio: float = MASKED_RATIO) -> DataFrame:
+    """(phrase, n, ext, bound, cut): phrases that end values and begin longer ones, and whether they end values only where these were cut."""
     found = prefix_self_join(weights).join(standing_words(weights), "tail", "left")
     bound = F.when(F.col("phrase").startswith("#"), masked_ratio).otherwise(ratio)
     rare = F.col("n") <= F.col("ext") * bound
     noise = F.col("mid") * ratio
     whole = F.col("n") - F.col("ends") + F.col("stands") > noise
     word = (F.coalesce("known", F.lit(0)) > noise) & (F.col("ends") > F.col("mid"))
-    return found.where(rare | ((F.col("mid") > 0) & ~whole & ~word)).select("phrase")
-
-
-def truncated(df: DataFrame, value: str = "description", ratio: float = RATIO, masked_ratio: float = MASKED_RATIO) -> DataFrame:
-    """The rows of `df` whose value was cut off."""
-    src = df.where(F.col(value).isNotNull())
-    cut = cut_lineage(cut_phrases(src, value, ratio, masked_ratio))
-    plain = cut.where(~F.col("phrase").startswith("#"))
-    masked = cut.where(F.col("phrase").startswith("#"))
-    p, m, c1, c2 = fresh_names(df, "_phrase", "_masked", "_cut", "_cut_masked")
-    rows = src.withColumn(p, F.try_element_at(phrases(F.col(value)), F.lit(-1))).where(F.col(p).isNotNull())
-    rows = rows.withColumn(m, F.when(F.col(p).rlike(r"\p{N}"), F.concat(F.lit("#"), _masked(F.col(p)))))
-    rows = rows.join(broadcast_if_small(plain.select(F.col("phrase").alias(p), F.lit(True).alias(c1))), p, "left")
-    rows = rows.join(broadcast_if_small(masked.select(F.col("phrase").alias(m), F.lit(True).alias(c2))), m, "left")
-    return rows.where(F.col(c1).isNotNull() | F.col(c2).isNotNull() | dangling(F.col(value))).select(*df.columns)
+    return cut_lineage(found.select("phrase", "n", "ext", bound.alias("bound"), (rare | ((F.col("mid") > 0) & ~whole & ~word)).alias("cut")))
+
+
+def _flagged(rows: DataFrame, column: str, phrases: DataFrame, flag: str) -> DataFrame:
+    """Rows with `flag` (true or null) by whether their phrase is one of a staged table's."""
+    count, width = measured(phrases)
+    hit = phrases.select(F.col("phrase").alias(column), F.lit(True).alias(flag))
+    if count <= BROADCAST_ROWS and width <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(hit), column, "left")
+    if not count:
+        return rows.withColumn(flag, F.lit(None).cast("boolean"))
+    held = rows.join(hit.select(column), column, "left_semi")
+    others = rows.join(hit.select(column), column, "left_anti").withColumn(flag, F.lit(None).cast("boolean"))
+    return join_hot(held, hit, [column], held.columns[0]).unionByName(others)
+
+
+def limit_phrases(rows: DataFrame, names: dict[str, str], weighed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """((s, l) of field limits, phrases that are cut there): both staged. `rows` carry `cut` for their own evidence."""
+    v, p, m, s, l_ = (F.col(names[k]) for k in ("v", "p", "m", "s", "l"))
+    spots = rows.groupBy(s.alias("s"), l_.alias("l")).agg(F.countDistinct(v).alias("all"), F.countDistinct(F.when(F.col("cut"), v)).alias("bad"))
+    spots = cut_lineage(spots.where((F.col("bad") >= SPIKE_VALUES) & (F.col("bad") >= F.col("all") * SPIKE)).select("s", "l"))
+    at = rows.where(~F.col("cut")).join(broadcast_if_small(spots), s.eqNullSafe(F.col("s")) & (l_ == F.col("l")), "left_semi")
+    here = at.select(v.alias("v"), F.explode(F.array(p, m)).alias("phrase")).where("phrase is not null").distinct().groupBy("phrase").agg(F.count("*").alias("here"))
+    ok = (F.col("n") - F.col("here")) <= F.col("ext") * F.col("bound")
+    return spots, cut_lineage(here.join(weighed.where("not cut"), "phrase").where(ok).select("phrase"))
+
+
+def truncated(df: DataFrame, value: str = "description", ratio: float = RATIO, masked_ratio: float = MASKED_RATIO, source: str | None = "source") -> DataFrame:
+    """The rows of `df` whose value was cut off. Without a column `source` all rows are of one source."""
+    source = source if source in df.columns else None
+    rows, names = folded_rows(df, value, source)
+    weighed = weighed_phrases(phrase_weights(rows.select(F.col(names["v"]).alias("v"))), ratio, masked_ratio)
+    cut = cut_lineage(weighed.where("cut").select("phrase"))
+    c1, c2, c3, c4 = fresh_names(rows, "_c1", "_c2", "_c3", "_c4")
+    p, m = names["p"], names["m"]
+    plain, masked = ~F.col("phrase").startswith("#"), F.col("phrase").startswith("#")
+    rows = _flagged(_flagged(rows, p, cut.where(plain), c1), m, cut.where(masked), c2)
+    own = F.col(c1).isNotNull() | F.col(c2).isNotNull() | F.col(names["d"])
+    spots, more = limit_phrases(rows.withColumn("cut", own), names, weighed)
+    if not more.isEmpty():
+        rows = _flagged(_flagged(rows, p, more.where(plain), c3), m, more.where(masked), c4)
+        limit = spots.select(F.col("s").alias("_ls"), F.col("l").alias("_ll"), F.lit(True).alias("_limit"))
+        rows = rows.join(broadcast_if_small(limit), F.col(names["s"]).eqNullSafe(F.col("_ls")) & (F.col(names["l"]) == F.col("_ll")), "left")
+        own = own | (F.col("_limit").isNotNull() & (F.col(c3).isNotNull() | F.col(c4).isNotNull()))
+    return rows.where(own).select(*df.columns)
 
 
 def truncation_rates(df: DataFrame, value: str = "description", source: str = "source") -> DataFrame:
     """(source, n_rows, n_cut): how often each source cuts, over rows with a value."""
-    found = truncated(df.select(source, value), value).groupBy(source).agg(F.count("*").alias("c")).withColumnRenamed(source, "_s")
+    found = truncated(df.select(source, value), value, source=source).groupBy(source).agg(F.count("*").alias("c")).withColumnRenamed(source, "_s")
     total = df.where(F.col(value).isNotNull()).groupBy(source).agg(F.count("*").alias("n_rows"))
     out = total.join(found, F.col(source).eqNullSafe(F.col("_s")), "left")
     return out.select(source, "n_rows", F.coalesce("c", F.lit(0)).alias("n_cut"))

@@ -64,6 +64,31 @@ def test_cut_values_of_a_rare_vocabulary(spark):
         assert sorted(r.description for r in T.truncated(df).collect()) == sorted(cut)
 
 
+def test_common_cuts_at_a_field_limit(spark, monkeypatch):
+    """A source's field limit explains cuts at a word boundary, however common they are."""
+    names = ["BOLT " + "ABCDEFGHIJKLMNOPQRST"[: i % 20 + 1] + str(i % 7) for i in range(140)]
+    full = [f"{n}, {w}" for n in names for w in ("STAINLESS STEEL", "SUPPLIED WITHOUT FASTENERS")]
+    cut = sorted({x[:22] for x in full if len(x) > 22 and x[21] != " " and x[20:22].strip(",")})
+    whole = ["PIN, 12 MM LONG HEAD X1"[:22]] + ["NUT, STAINLESS STEEL"]
+    rows = [(x, "t") for x in full] + [(x, "s") for x in cut] + [(x, "s") for x in whole]
+    df = spark.createDataFrame([(i, s, d, "", "", "") for i, (d, s) in enumerate(rows)], SCHEMA)
+    got = {r.description for r in T.truncated(df).collect()}
+    at_boundary = {x for x in cut if x.endswith((" STAINLESS", " SUPPLIED", " WITHOUT"))}
+    assert len(at_boundary) > 10 and at_boundary <= got and not got & set(full)
+    monkeypatch.setattr(T, "SPIKE", 2)
+    assert not at_boundary & {r.description for r in T.truncated(df).collect()}
+    monkeypatch.undo()
+    many = spark.createDataFrame([(i, "s", d, "", "", "") for i, d in enumerate([f"BOLT {i}, STAINLESS STEEL" for i in range(1000)] + [f"BOLT {i}, STAINLESS STE" for i in range(50)])], SCHEMA)
+    assert T.truncated(many).count() == 50
+
+
+def test_hot_phrase_beyond_the_broadcast(spark, monkeypatch):
+    every = corpus() + COMPLETE + CUT * 3
+    df = spark.createDataFrame([(i, "s", d, "", "", "") for i, d in enumerate(every)], SCHEMA)
+    monkeypatch.setattr(T, "BROADCAST_ROWS", 1)
+    assert sorted(r.description for r in T.truncated(df).collect()) == sorted(CUT * 3)
+
+
 def test_empty_table(spark):
     assert T.truncated(spark.createDataFrame([], SCHEMA)).count() == 0
     assert T.truncation_rates(spark.createDataFrame([], SCHEMA)).count() == 0
