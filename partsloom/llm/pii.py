@@ -26,13 +26,13 @@ three times nothing is learned; give `patterns` learned elsewhere there.
 from __future__ import annotations
 
 import re
-import uuid
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from partsloom.llm import tokens as K
+from partsloom.llm.gates import Gate, gate_of, shared_gate
 from partsloom.session import broadcast_if_small, cut_lineage
 
 #: Support of a pattern; shares of its instances that must have its type.
@@ -41,8 +41,6 @@ NUMBER_CONFIDENCE, NAME_CONFIDENCE, ADDRESS_CONFIDENCE, WORD_SHARE, KNOWN_WORDS
 ROUNDS = 3
 #: Code points handled at once, in whole texts.
 CHUNK = 200_000
-#: Bits of the filter for each pattern, and its largest size.
-FILTER_BITS, FILTER_MOST = 32, 1 << 28
 
 _L = r"[^\W\d_]"
 _E = r"(?![A-Za-z0-9])"
@@ -504,40 +502,6 @@ def learned_patterns(df: DataFrame, text: str = "text", rounds: int = ROUNDS) ->
     return out.unionByName(marks.where(F.substring("key", 1, 1).isin("n", "a")))
 
 
-class Gate:
-    """A Bloom filter of the codes of name contexts, of a size that is bounded."""
-
-    def __init__(self, size: int, words: dict[int, bytes]):
-        self.size = size
-        self.bits = np.zeros(size // 8, dtype=np.uint8)
-        for bucket, bitmap in words.items():
-            at = bucket * 4096
-            part = np.frombuffer(bitmap, dtype=np.uint8)
-            self.bits[at : at + len(part)] = part
-
-    def holds(self, codes: np.ndarray) -> np.ndarray:
-        out = np.ones(len(codes), dtype=bool)
-        for shift in (0, 28):
-            bit = (codes >> np.uint64(shift)) & np.uint64(self.size - 1)
-            out &= (self.bits[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
-        return out
-
-
-def gate_of(patterns: DataFrame) -> Gate:
-    """Built in Spark as bitmaps; what comes to the driver is at most FILTER_MOST bits, whatever the patterns."""
-    names = patterns.where("gate is not null").select("gate")
-    size = 1 << 15
-    wanted = names.count() * FILTER_BITS
-    while size < min(wanted, FILTER_MOST):
-        size *= 2
-    bit = F.explode(F.array(*[F.shiftrightunsigned("gate", s).bitwiseAND(F.lit(size - 1).cast("bigint")) for s in (0, 28)])).alias("p")
-    bits = names.select(bit).select((F.col("p") + 1).alias("p"))
-    maps = bits.groupBy(F.bitmap_bucket_number("p").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("m"))
-    return Gate(size, {r.b - 1: bytes(r.m) for r in maps.toLocalIterator()})
-
-
-_gates: dict[str, Gate] = {}
-
 _FOUND = "rid bigint, kind string, seed string, sure boolean, start_pos int, end_pos int, cluster int, keys array<string>, cased boolean, begins boolean, lead boolean, width int"
 
 
@@ -586,24 +550,20 @@ def _applied(df: DataFrame, key: str, text: str, patterns: DataFrame) -> DataFra
     """(rid, key, kind, ...) of all candidates of the second pass, cut off: their row numbers stay as they are."""
     from pyspark import TaskContext
 
-    gate = gate_of(patterns)
-    token, shared = uuid.uuid4().hex, df.sparkSession.sparkContext.broadcast((gate.size, gate.bits))
+    shared = shared_gate(df.sparkSession, gate_of(patterns.select("gate")))
     src = _readable(df, key, text)
     kind = src.schema["k"].dataType.simpleString()
 
     def run(batches):
         import pyarrow as pa
 
-        if token not in _gates:
-            _gates.clear()
-            g = _gates[token] = Gate(8, {})
-            g.size, g.bits = shared.value
+        gate = shared.get()
         row = TaskContext.get().partitionId() << 40
         kinds = [pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.string()), pa.bool_(), pa.bool_(), pa.bool_(), pa.int32()]
         for batch in batches:
             rows, owners = [], []
             for start, r in _readers(batch.column(0)):
-                for t, found in _found(r, _gates[token]).items():
+                for t, found in _found(r, gate).items():
                     owners += [start + t] * len(found)
                     rows += [(row + start + t, *f) for f in found]
             row += batch.num_rows
