@@ -6,8 +6,10 @@ a field splits depends on its skeleton alone: the splitting rule (token ranges a
 they are quoted) is resolved once per distinct skeleton, brought back to the rows, and
 applied by position inside the JVM.
 
-The distinct skeletons are counted; up to a stated number of rows they are broadcast, above
-it the rule table is joined by a shuffle on the skeleton under adaptive skew handling.
+Distinct skeletons are counted and measured. If they are few, their rules are broadcast. Beyond
+the bound those that hold more than a share of all fields are broadcast (the share bounds
+their number), which leaves no hot skeleton: fields of all others are joined with their rules
+by a shuffle on the skeleton.
 
 A code is the text inside a pair of quotes (`""` inside double quotes is one `"`), or a
 longest run of A-Z, 0-9 and hyphens without the hyphens at its ends. The label `UOC:` in any
@@ -21,7 +23,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from partsloom.session import BROADCAST_ROWS, broadcast_if_small, cut_lineage
+from partsloom.session import BROADCAST_BYTES, BROADCAST_ROWS, cut_lineage, join_hot, measured
+
+#: Beyond the broadcast bound, skeletons of more than one in FREQUENT fields are still broadcast: fewer than FREQUENT.
+FREQUENT = 10_000
 
 #: Opening quotes and what closes them.
 QUOTES = {'"': '"', "'": "'", "“": "”", "‘": "’", "„": "“”", "«": "»"}
@@ -70,24 +75,23 @@ def resolve(skel: str) -> list[tuple[int, int, str]]:
 
 
 def split_rules(skeletons: DataFrame) -> DataFrame:
-    """`skel` and its rule, for a table of distinct skeletons."""
+    """`skel`, its number of fields `n` and its rule, for a table of distinct skeletons."""
 
     def run(batches):
         import pandas as pd
 
         for pdf in batches:
             rules = [[{"at": a, "n": n, "quote": q} for a, n, q in resolve(s)] for s in pdf["skel"]]
-            yield pd.DataFrame({"skel": pdf["skel"], "rule": rules})
+            yield pd.DataFrame({"skel": pdf["skel"], "n": pdf["n"], "rule": rules})
 
-    return skeletons.mapInPandas(run, "skel string, rule array<struct<at:int,n:int,quote:string>>")
+    return skeletons.mapInPandas(run, "skel string, n bigint, rule array<struct<at:int,n:int,quote:string>>")
 
 
 def explode_codes(df: DataFrame, key: str = "row_id", column: str = "uoc", least: int = 2, max_broadcast: int = BROADCAST_ROWS) -> DataFrame:
     """(key, pos, code): one row a code, for fields that hold at least `least` codes."""
     src = df.select(F.col(key).alias("_k"), F.col(column).alias("_v")).where(F.col("_v").isNotNull() & (F.col("_v") != ""))
     src = src.withColumn("skel", skeleton(F.col("_v")))
-    rules = split_rules(src.select("skel").distinct()).where(F.size("rule") >= least)
-    rules = broadcast_if_small(cut_lineage(rules), max_broadcast)
+    rules = cut_lineage(split_rules(src.groupBy("skel").agg(F.count("*").alias("n"))).where(F.size("rule") >= least))
     tokens = F.regexp_extract_all("_v", F.lit(TOKEN), 0)
 
     def cut(toks: Column, r: Column) -> Column:
@@ -97,5 +101,18 @@ def explode_codes(df: DataFrame, key: str = "row_id", column: str = "uoc", least
 
     # Bound by a lambda, so that a field is cut into tokens once and not once a code.
     codes = F.transform(F.array(tokens), lambda t: F.transform("rule", lambda r: cut(t, r)))[0]
-    out = src.join(rules, "skel").select("_k", codes.alias("codes"))
+    split = lambda rows: rows.select("_k", codes.alias("codes"))
+    count, width = measured(rules)
+    if count <= max_broadcast and width <= BROADCAST_BYTES:
+        out = split(src.join(F.broadcast(rules.drop("n")), "skel"))
+    else:
+        total = rules.agg(F.sum("n")).first()[0] or 0
+        often = F.col("n") * min(FREQUENT, max_broadcast) > total
+        known, rare = rules.where(often).drop("n"), rules.where(~often).drop("n")
+        if measured(known)[1] <= BROADCAST_BYTES:
+            near = split(src.join(F.broadcast(known), "skel"))
+        else:
+            near = split(join_hot(cut_lineage(src), known, ["skel"], "_k"))
+        # Few fields each: no skeleton is hot here.
+        out = near.unionByName(split(src.join(rare, "skel")))
     return out.select(F.col("_k").alias(key), F.posexplode("codes").alias("pos", "code")).withColumn("pos", F.col("pos") + 1)

@@ -35,7 +35,7 @@ def test_random_fields(spark):
     bits = ["AB", "L-17", "-", "--", " ", ", ", ";", "/", "and", "UOC:", "uoc: ", '"', '""', "'", "“", "”", "‘", "’", "X9", "after", "\n", "é", "A-", "-B", "„", "«", "»"]
     texts = ["".join(rng.choice(bits) for _ in range(rng.randrange(9))) for _ in range(1500)] + [None, "", "A," * 50_000]
     df = spark.createDataFrame(list(enumerate(texts)), "row_id bigint, uoc string").selectExpr("*", "'x' AS skel", "1 AS rule")
-    for bound in (P.BROADCAST_ROWS, 0):  # broadcast and shuffled
+    for bound in (P.BROADCAST_ROWS, 40, 0):  # broadcast, frequent ones broadcast, shuffled
         got = {}
         for r in P.explode_codes(df, least=1, max_broadcast=bound).orderBy("row_id", "pos").collect():
             got.setdefault(r.row_id, []).append((r.pos, r.code))
