@@ -11,9 +11,12 @@ hold enough hits on diagonals no further apart than the budget. Lengths that are
 multiple of 5 need no test of their own: without its last words such a stretch has the same
 error budget. So the search is exact, not a heuristic.
 
-The items are read in blocks of `BLOCK` rows, whose piece index is broadcast (bounded by the
-block); the corpus is mapped in place, so there is no shuffle and no join, and a passage that
-leaked into a third of all texts costs no more than its own verifications.
+The corpus is read once, whatever the number of items. Items measured to be few (`BLOCK` rows,
+`BLOCK_BYTES` bytes) are broadcast with their piece index, and texts are searched where they
+are. More items stay a table: a Bloom filter of bounded size tells which pieces of a text may be
+an item's, the pieces that pass are joined with the piece table (hot pieces salted), texts
+and items with two common pieces are brought together and verified. Both ways give the same
+rows.
 
 Defined results: null texts and passages match nothing; passages under 20 words match
 nothing; layout (case, line breaks, white space, soft hyphens, zero-width characters, HTML
@@ -25,21 +28,28 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
-import uuid
 
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructField, StructType
+
+from partsloom.llm.gates import Shared, gate_of, shared_gate
+from partsloom.session import cut_lineage, join_hot, measured
 
 WORDS, PER, PIECE = 20, 5, 3
-BLOCK = 5_000
+#: Rows and bytes of items up to which their index is broadcast.
+BLOCK, BLOCK_BYTES = 5_000, 16_000_000
 
-#: A tag is anything short; beyond 80 characters only what can't be prose after a stray `<`: an attribute with a value
-#: near the start, no white space at all, or a doctype. No part goes past the next `<`, so the search is linear.
+#: A tag is anything short; beyond 80 characters only what can't be prose after a stray `<`: names of attributes and one
+#: with a value, no white space at all, a closing tag, or a doctype. No part goes past the next `<`, so the search is linear.
 _TAG = re.compile(
     r"<(?:[/!a-zA-Z][^<>]{0,80}"
-    r"|[a-zA-Z][\w:-]*+(?:\s++[\w:@.-]++){1,4}?\s*+=[^<>]*+"
+    r"|[a-zA-Z][\w:-]*+(?:\s++[\w:@.-]++(?![\w:@.-]))*?\s++[\w:@.-]++\s*+=[^<>]*+"
+    r"|/[a-zA-Z][^<>]*+"
     r"|/?[a-zA-Z][!-;=?-~]*+"
-    r"|!(?i:doctype)\b[^<>]*+)>"
+    r"|!(?:--|(?i:doctype)\b)[^<>]*+)>"
 )
 _BROKEN = re.compile(r"(?<=\w)-[ \t]*\r?\n[ \t]*(?=\w)")
 _WORD = re.compile(r"[^\W_]+")
@@ -151,55 +161,106 @@ class Index:
         return [self.ids[k] for k, h in self.hits(w).items() if len({at for _, at in h}) > 1 and self.verify(w, k, h)]
 
 
-#: The index a worker holds, by the token of its block.
-_indexes: dict[str, Index] = {}
-
-
 def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "test_id", passage: str = "passage", block: int = BLOCK) -> DataFrame:
     """(key, item_key): texts and the items whose passages they give away."""
-    spark = docs.sparkSession
     src = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).where(F.col("t").isNotNull())
-    wanted = items.select(F.col(item_key).alias("i"), F.col(passage).alias("p")).where(F.col("p").isNotNull())
-    kinds = src.schema["k"].dataType.simpleString(), wanted.schema["i"].dataType.simpleString()
-    schema = f"`{key}` {kinds[0]}, `{item_key}` {kinds[1]}"
-    blocks, rows = [], []
-    for row in wanted.dropDuplicates().toLocalIterator():
-        rows.append((row["i"], row["p"]))
-        if len(rows) == block:
-            blocks.append(rows)
-            rows = []
-    out = None
-    for part in [*blocks, rows] if rows or not blocks else blocks:
-        shared = spark.sparkContext.broadcast(part)
-        found = _mapped(src, shared, schema, key, item_key)
-        out = found if out is None else out.unionByName(found)
-    return out
-
-
-def _mapped(src: DataFrame, shared, schema: str, key: str, item_key: str) -> DataFrame:
-    token = uuid.uuid4().hex
+    wanted = cut_lineage(items.select(F.col(item_key).alias("i"), F.col(passage).alias("p")).where(F.col("p").isNotNull()).dropDuplicates())
+    rows, size = measured(wanted)
+    found = _searched(src, wanted) if rows <= block and size <= BLOCK_BYTES else _joined(src, wanted)
+    return found.select(F.col("k").alias(key), F.col("i").alias(item_key))
+
+
+def _searched(src: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(k, i) by an index of all items, which are few."""
+    shared = Shared(src.sparkSession, [tuple(r) for r in wanted.collect()], Index)
+    kind = to_arrow_type(wanted.schema["i"].dataType)
 
     def run(batches):
         import pyarrow as pa
 
-        if token not in _indexes:
-            _indexes.clear()
-            _indexes[token] = Index(shared.value)
-        index = _indexes[token]
+        index = shared.get()
         for batch in batches:
-            ks, ts = batch.column(0), batch.column(1).to_pylist()
             rows, found = [], []
-            for n, t in enumerate(ts):
+            for n, t in enumerate(batch.column(1).to_pylist()):
                 for i in index.search(t):
                     rows.append(n)
                     found.append(i)
-            yield pa.RecordBatch.from_arrays([ks.take(pa.array(rows, pa.int64())), pa.array(found, kind)], names=[key, item_key])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(found, kind)], names=["k", "i"])
+
+    return src.mapInArrow(run, _schema(src, wanted))
+
+
+def _schema(src: DataFrame, wanted: DataFrame) -> StructType:
+    return StructType([StructField("k", src.schema["k"].dataType), StructField("i", wanted.schema["i"].dataType)])
+
+
+def _code(piece) -> int:
+    """A signed 64-bit code of a piece of words."""
+    return xxhash.xxh64_intdigest(" ".join(piece)) - (1 << 63)
+
+
+def _grid(found: list[str]):
+    return {tuple(found[at : at + PIECE]) for at in range(0, len(found) - PIECE + 1, PIECE)}
 
-    from pyspark.sql.pandas.types import to_arrow_type
-    from pyspark.sql.types import _parse_datatype_string
 
-    kind = to_arrow_type(_parse_datatype_string(schema)[item_key].dataType)
-    return src.mapInArrow(run, schema)
+def _joined(src: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(k, i) for any number of items, by joins of pieces."""
+    from pyspark import TaskContext
+
+    wanted = cut_lineage(wanted.withColumn("item", F.monotonically_increasing_id()))
+
+    def pieces_of_items(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            owners, codes = [], []
+            for item, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                found = words(p)
+                if len(found) >= WORDS:
+                    grid = [_code(x) for x in _grid(found)]
+                    codes += grid
+                    owners += [item] * len(grid)
+            yield pa.RecordBatch.from_arrays([pa.array(owners, pa.int64()), pa.array(codes, pa.int64())], names=["item", "piece"])
+
+    pieces = cut_lineage(wanted.select("item", "p").mapInArrow(pieces_of_items, "item bigint, piece bigint"))
+    gate = shared_gate(src.sparkSession, gate_of(pieces.select("piece").distinct()))
+    kind = src.schema["k"].dataType.simpleString()
+
+    def pieces_of_texts(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        asked, row = gate.get(), TaskContext.get().partitionId() << 40
+        for batch in batches:
+            places, hits = [], []
+            for n, t in enumerate(batch.column(1).to_pylist()):
+                found = words(t)
+                if len(found) < WORDS - WORDS // PER:
+                    continue
+                codes = np.array(list({_code(x) for x in zip(found, found[1:], found[2:])}), dtype=np.int64)
+                codes = codes[asked.holds(codes.view(np.uint64))]
+                if len(codes) > 1:
+                    places.append(n)
+                    hits.append(codes.tolist())
+            at = pa.array(places, pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array([row + n for n in places], pa.int64()), batch.column(0).take(at), batch.column(1).take(at), pa.array(hits, pa.list_(pa.int64()))], names=["rid", "k", "t", "pieces"])
+            row += batch.num_rows
+
+    texts = cut_lineage(src.mapInArrow(pieces_of_texts, f"rid bigint, k {kind}, t string, pieces array<bigint>"))
+    hits = cut_lineage(texts.select("rid", F.explode("pieces").alias("piece")))
+    both = join_hot(hits, pieces, ["piece"], "rid").groupBy("rid", "item").agg(F.count("*").alias("n")).where("n > 1").select("rid", "item")
+    pairs = both.join(texts.select("rid", "k", "t"), "rid")
+    # An item may be in a third of all texts, a text may hold many items: texts come by their own row, items salted.
+    pairs = join_hot(cut_lineage(pairs), wanted, ["item"], "rid")
+
+    def verify(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            ok = [bool(Index([(0, p)]).search(t)) for t, p in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["k", "i"]).filter(pa.array(ok, pa.bool_()))
+
+    return pairs.select("k", "i", "t", "p").mapInArrow(verify, _schema(src, wanted))
 
 
 def leaked_items(docs: DataFrame, items: DataFrame, **names: str) -> DataFrame:

@@ -96,6 +96,21 @@ def test_frame(spark):
     assert L.leaks(docs, items.limit(0)).count() == 0
 
 
+def test_many_items_are_joined_to_the_same_rows(spark):
+    """Beyond the broadcast bound the joins find what the index finds, hot items and pieces included."""
+    rng = random.Random(9)
+    passages = [" ".join(["w0 w1 w2"] + [rng.choice(VOCABULARY) for _ in range(rng.choice([15, 18, 27]))]) for _ in range(40)]
+    texts = []
+    for n in range(300):
+        p = passages[0 if n % 3 == 0 else rng.randrange(40)].split()
+        body = spoiled(rng, p[rng.randrange(3) :], rng.choice([0, 3, 4, 6]))
+        texts.append((n, " ".join(["w0 w1 w2 x"] + body + [rng.choice(VOCABULARY) for _ in range(9)])))
+    items = spark.createDataFrame(list(enumerate(passages)), "test_id int, passage string")
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    near, far = ({tuple(r) for r in L.leaks(docs, items, block=b).collect()} for b in (L.BLOCK, 3))
+    assert near == far and len(near) > 60
+
+
 def test_repeats_stay_cheap():
     passage = " ".join(VOCABULARY)
     index = L.Index([(1, passage)])
