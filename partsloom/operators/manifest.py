@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from partsloom.functions.text import relativize
 from partsloom.schemas import MANIFEST_PATHS
+from partsloom.session import cut_lineage
 
 THRESHOLD = 5
 
@@ -35,13 +36,14 @@ def manifest_rows(pair_tables: DataFrame, valid: DataFrame) -> DataFrame:
 
 def within_threshold(rows: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Without figures that have more rows than `threshold`; captions on one page share the budget."""
+    rows = cut_lineage(rows)  # counted and filtered: planned and evaluated once
     few = rows.groupBy("pdf_id", "figure_path").agg(F.count("tsv_path").alias("_n")).where(F.col("_n") <= threshold)
     return rows.join(few, ["pdf_id", "figure_path"], "left_semi")
 
 
 def local_manifest(pair_tables: DataFrame, valid: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """Manifest rows of all manuals. Raises if no pair has a valid table; an empty result after
-    the threshold is a manifest without rows."""
+    """Manifest rows of all manuals. No pair with a valid table, or none after the threshold, is a manifest without
+    rows; the command line reports manuals of the first kind and writes nothing for them."""
     return within_threshold(manifest_rows(pair_tables, valid), threshold)
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from partsloom.operators.elements import classify
+from partsloom.session import cut_lineage
 
 #: Elements of a manual scanned by one window.
 CHUNK = 20_000
@@ -31,7 +32,8 @@ def sheets(classified: DataFrame, chunk: int = CHUNK) -> DataFrame:
 def groups(classified: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """Captions and tables with `group_id`: 0 before the first caption, else the number of the
     block, which begins where the figure number differs from the caption before it."""
-    rows = classified.where(F.col("class") != "other").withColumn("_c", F.floor(F.col("element_index") / chunk))
+    # Captions and tables are read twice, for the chunks' summaries and to carry these on.
+    rows = cut_lineage(classified.where(F.col("class") != "other").withColumn("_c", F.floor(F.col("element_index") / chunk)))
     w = Window.partitionBy("pdf_id", "_c").orderBy("element_index")
     past = w.rowsBetween(Window.unboundedPreceding, -1)
     so_far = w.rowsBetween(Window.unboundedPreceding, 0)
@@ -77,6 +79,7 @@ def pairs(grouped: DataFrame) -> DataFrame:
 
 def pairing(grouped: DataFrame) -> DataFrame:
     """Pairs with their arrays: `figure_pages` (0 or 1), `figure_texts`, `table_pages` in order."""
+    grouped = cut_lineage(grouped)
     pages = group_table_pages(grouped).groupBy("pdf_id", "group_id")
     ordered = F.array_sort(F.collect_list(F.struct("first_index", "table_page")))
     pages = pages.agg(F.transform(ordered, lambda p: p["table_page"]).alias("table_pages"))
@@ -94,6 +97,7 @@ def pairing(grouped: DataFrame) -> DataFrame:
 
 def pair_tables(grouped: DataFrame) -> DataFrame:
     """(pdf_id, key, pair_ordinal, figure_page, first_index, table_page): pairs times their block's tables."""
+    grouped = cut_lineage(grouped)
     return pairs(grouped).join(group_table_pages(grouped), ["pdf_id", "group_id"]).drop("group_id", "figure_text")
 
 

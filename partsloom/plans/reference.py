@@ -14,7 +14,7 @@ from partsloom.operators import pages as PG
 from partsloom.operators import pairing as P
 from partsloom.operators import stats as S
 from partsloom.operators import tables as T
-from partsloom.session import table
+from partsloom.session import cut_lineage, table
 from partsloom.streaming.pages import arrivals
 
 # -- inputs
@@ -41,26 +41,37 @@ def _raw(s, d) -> DataFrame:
     return pages.select("pdf_id", "page_number", F.when(F.col("page_number") % 4 == 0, fenced).otherwise(body).alias("raw"))
 
 
-_CELLS = """
+_WIDE = """
     WITH b AS (SELECT concat('data-', CAST(l_orderkey % 10 AS STRING)) AS pdf_id, CAST(1 + floor(l_orderkey / 10) % 260 AS INT) AS page_number,
        l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, p_name, p_brand FROM lineitem JOIN part ON l_partkey = p_partkey),
     r AS (SELECT *, CAST(row_number() OVER (PARTITION BY pdf_id, page_number ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) - 1 AS INT) AS row_idx FROM b),
     w AS (SELECT pdf_id, page_number, row_idx, CAST(l_linenumber AS STRING) AS item_no, p_brand AS part_no,
        CASE WHEN page_number % 9 = 0 THEN NULL WHEN page_number % 11 = 0 THEN p_brand ELSE p_name END AS description,
        CASE WHEN l_partkey % 40 = 0 THEN concat('U', CAST(l_suppkey % 5 AS STRING)) ELSE NULL END AS uoc,
-       CASE WHEN l_partkey % 13 = 0 THEN NULL ELSE CAST(CAST(l_quantity AS INT) AS STRING) END AS quantity FROM r),
-    cells AS (SELECT pdf_id, page_number, row_idx, 0 AS col_idx, 'item_no' AS col_name, item_no AS value FROM w
+       CASE WHEN l_partkey % 13 = 0 THEN NULL ELSE CAST(CAST(l_quantity AS INT) AS STRING) END AS quantity FROM r)
+"""
+_CELLS = (
+    _WIDE
+    + """, cells AS (SELECT pdf_id, page_number, row_idx, 0 AS col_idx, 'item_no' AS col_name, item_no AS value FROM w
       UNION ALL SELECT pdf_id, page_number, row_idx, 1, 'part_no', part_no FROM w
       UNION ALL SELECT pdf_id, page_number, row_idx, 2, CASE WHEN page_number % 7 = 0 THEN 'nomenclature' ELSE 'description' END, description FROM w
       UNION ALL SELECT pdf_id, page_number, row_idx, 3, 'uoc', uoc FROM w
       UNION ALL SELECT pdf_id, page_number, row_idx, 4, 'quantity', quantity FROM w)
 """
+)
+#: Columns of the tables in these queries.
+_WIDTH = 5
 
 
 def _cell_rows(s, d) -> DataFrame:
     for name in ("lineitem", "part"):
         table(s, d, name).createOrReplaceTempView(name)
-    return T.rows_of_cells(s.sql(_CELLS + "SELECT * FROM cells"))
+    third = "CASE WHEN page_number % 7 = 0 THEN 'nomenclature' ELSE 'description' END"
+    return s.sql(
+        _WIDE
+        + f"""SELECT pdf_id, page_number, row_idx, array('item_no', 'part_no', {third}, 'uoc', 'quantity') AS names,
+             array(item_no, part_no, description, uoc, quantity) AS values FROM w"""
+    )
 
 
 def _part_rows(s, d) -> DataFrame:
@@ -68,7 +79,7 @@ def _part_rows(s, d) -> DataFrame:
 
 
 def _manifest_rows(s, d) -> DataFrame:
-    return M.manifest_rows(P.pair_tables(_grouped(s, d)), T.valid_pages(_part_rows(s, d)))
+    return M.manifest_rows(P.pair_tables(_grouped(s, d)), T.valid_pages(_part_rows(s, d), width=_WIDTH))
 
 
 def _local(s, d) -> DataFrame:
@@ -105,7 +116,7 @@ def _status(s, d) -> DataFrame:
 
 
 def _global(s, d) -> DataFrame:
-    rows = _local(s, d).drop("pair_ordinal", "first_index")
+    rows = cut_lineage(_local(s, d).drop("pair_ordinal", "first_index"))
     return M.global_manifest([rows.where("pdf_id <> 'data-1'"), rows.where("pdf_id = 'data-1'").drop("table_path")])
 
 
@@ -171,12 +182,12 @@ QUERIES = {
     "dot_leader_clean": lambda s, d: table(s, d, "page_n").select("row_id", X.strip_bullets(X.strip_dot_leaders(F.col("description"))).alias("description")),
     "part_number_filter": lambda s, d: table(s, d, "page_n").select("row_id", X.part_number(F.col("part_no")).alias("part_no")),
     "header_synonyms": header_synonyms,
-    "column_null_ratio": lambda s, d: T.null_ratios(_cell_rows(s, d)),
-    "column_adjacent_dup": lambda s, d: T.same_ratios(_cell_rows(s, d)),
-    "cleaned_columns": lambda s, d: T.cleaned_columns(_cell_rows(s, d)),
-    "cleaned_tables": lambda s, d: T.cleaned_tables(_cell_rows(s, d)),
-    "valid_pages": lambda s, d: T.valid_pages(_cell_rows(s, d)),
-    "valid_part_pages": lambda s, d: T.valid_pages(_part_rows(s, d)),
+    "column_null_ratio": lambda s, d: T.null_ratios(_cell_rows(s, d), width=_WIDTH),
+    "column_adjacent_dup": lambda s, d: T.same_ratios(_cell_rows(s, d), width=_WIDTH),
+    "cleaned_columns": lambda s, d: T.cleaned_columns(_cell_rows(s, d), width=_WIDTH),
+    "cleaned_tables": lambda s, d: T.cleaned_tables(_cell_rows(s, d), width=_WIDTH),
+    "valid_pages": lambda s, d: T.valid_pages(_cell_rows(s, d), width=_WIDTH),
+    "valid_part_pages": lambda s, d: T.valid_pages(_part_rows(s, d), width=_WIDTH),
     "local_manifest": _manifest_rows,
     "manifest_threshold": _local,
     "relativize_paths": lambda s, d: M.relative_paths(table(s, d, "dataset_manifest_global")),
