@@ -80,7 +80,7 @@ def chat_deployment(cfg: Config) -> Extractor:
         url = f"data:image/png;base64,{standard_b64encode(png).decode()}"
         reply = client.chat.completions.create(
             model=options["deployment"],
-            max_completion_tokens=int(options.get("max_tokens", 8192)),
+            max_tokens=int(options.get("max_tokens", 8192)),
             messages=[
                 {"role": "system", "content": cfg.system_prompt},
                 {"role": "user", "content": [{"type": "image_url", "image_url": {"url": url, "detail": "high"}}, {"type": "text", "text": cfg.user_prompt}]},
@@ -129,14 +129,13 @@ def pending(work: DataFrame, existing: DataFrame, skip_existing: bool = True) ->
     return work.join(existing.select("out_path"), "out_path", "left_anti") if skip_existing else work
 
 
-def extract(images: DataFrame, cfg: Config, calls: int | None = None) -> DataFrame:
+def extract(images: DataFrame, cfg: Config, calls: int | None = None, is_rate_limit=rate_limited) -> DataFrame:
     """(pdf_id, page_number, raw, status, error, attempts) of (pdf_id, page_number, png).
 
-    `calls` bounds the partitions that call at once; with a delay, the global rate is
-    calls / delay.
+    `calls` (else the configuration's) bounds the partitions that call at once; with a delay, the
+    global rate is calls / delay. `is_rate_limit` tells which errors are tried again.
     """
-    src = images.select("pdf_id", "page_number", "png")
-    src = src.repartition(calls) if calls else src
+    src = images.select("pdf_id", "page_number", "png").repartition(calls or cfg.calls)
 
     def run(batches):
         import pandas as pd
@@ -148,7 +147,7 @@ def extract(images: DataFrame, cfg: Config, calls: int | None = None) -> DataFra
                 if not first and cfg.delay_seconds:
                     time.sleep(cfg.delay_seconds)
                 first = False
-                rows.append((pdf_id, page, *call_with_retry(extractor, bytes(png), cfg)))
+                rows.append((pdf_id, page, *call_with_retry(extractor, bytes(png), cfg, is_rate_limit=is_rate_limit)))
             yield pd.DataFrame(rows, columns=["pdf_id", "page_number", "raw", "status", "error", "attempts"])
 
     return src.mapInPandas(run, "pdf_id string, page_number int, raw string, status string, error string, attempts int")
@@ -157,3 +156,25 @@ def extract(images: DataFrame, cfg: Config, calls: int | None = None) -> DataFra
 def sanitized(raw: DataFrame) -> DataFrame:
     """Adds `tsv`, the clean table text, to raw extractions that succeeded."""
     return raw.withColumn("tsv", F.when(F.col("raw").isNotNull(), sanitize(F.col("raw"))))
+
+
+def extraction_run(images: DataFrame, cfg: Config, raw_path: str, existing: DataFrame | None = None) -> DataFrame:
+    """One run over page images: (pdf_id, page_number, status, error, attempts, tsv), with the pages that were skipped.
+
+    The extractor's answers are written to `raw_path` before anything reads them, so neither a retry of a later
+    step nor a new sanitiser calls the extractor again. `existing` pages (pdf_id, page_number) are skipped.
+    """
+    keys = ["pdf_id", "page_number"]
+    todo = images.join(existing.select(*keys).distinct(), keys, "left_anti") if existing is not None else images
+    extract(todo, cfg).write.mode("overwrite").parquet(raw_path)
+    done = sanitized(images.sparkSession.read.parquet(raw_path)).select(*keys, "status", "error", "attempts", "tsv")
+    if existing is None:
+        return done
+    skipped = images.select(*keys).join(existing.select(*keys).distinct(), keys, "left_semi")
+    none = lambda kind, name: F.lit(None).cast(kind).alias(name)
+    return done.unionByName(skipped.select(*keys, F.lit("skipped").alias("status"), none("string", "error"), F.lit(0).alias("attempts"), none("string", "tsv")))
+
+
+def quantity_value(value):
+    """A quantity as a number, null where it is blank or none."""
+    return F.trim(value).try_cast("int")

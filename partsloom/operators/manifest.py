@@ -60,7 +60,8 @@ def with_pdf_id_after_figure(manifest: DataFrame) -> DataFrame:
     return manifest.select(*cols[:at], "pdf_id", *cols[at:])
 
 
-def global_manifest(manifests: list[DataFrame]) -> DataFrame:
-    """Union by name of manifests (missing columns are null), paths relative, `pdf_id` after `figure`."""
+def global_manifest(manifests: list[DataFrame] | DataFrame) -> DataFrame:
+    """Union by name of manifests (missing columns are null), or rows of many read at once; paths relative, `pdf_id` after `figure`."""
+    manifests = [manifests] if isinstance(manifests, DataFrame) else manifests
     merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), manifests)
     return with_pdf_id_after_figure(relative_paths(merged))

@@ -35,6 +35,30 @@ def all_present(required: DataFrame, present: DataFrame) -> bool:
 Renderer = Callable[[str, Iterable[tuple[str, int]], int], Iterable[tuple[str, int, bytes]]]
 
 
+def default_renderer(tolerate_truncated: bool = True) -> Renderer | None:
+    """The installed PDF renderer, or None. Damaged embedded images are drawn as far as they go."""
+    try:
+        from pdf2image import convert_from_path
+    except ImportError:
+        return None
+
+    def run(path: str, todo, dpi: int):
+        import io
+
+        if tolerate_truncated:
+            from PIL import ImageFile
+
+            ImageFile.LOAD_TRUNCATED_IMAGES = True
+        for kind, page in todo:
+            images = convert_from_path(path.removeprefix("file:"), dpi=dpi, first_page=page, last_page=page)
+            if images:
+                out = io.BytesIO()
+                images[0].save(out, "PNG")
+                yield kind, page, out.getvalue()
+
+    return run
+
+
 def render(pages: DataFrame, pdfs: DataFrame, renderer: Renderer, dpi: int = DPI, batch: int = 50) -> DataFrame:
     """(pdf_id, kind, page_number, png): pages rendered in batches of one manual.
 

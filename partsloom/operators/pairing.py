@@ -107,14 +107,28 @@ def pair_order(key: Column) -> Column:
     return F.struct(F.get(parts, F.lit(0)).try_cast("int").alias("figure"), F.coalesce(F.get(parts, F.lit(1)).try_cast("int"), F.lit(0)).alias("sheet"))
 
 
+def pairing_entries(elements: DataFrame, mode: str = "lenient") -> DataFrame:
+    """(pdf_id, section, place, item): the entries of a manual's figures, tables and pairing as JSON, in order of place.
+
+    Every manual has an entry in each section, null where it has none, so a sink can stream documents.
+    """
+    c = cut_lineage(classify(elements, mode).where(F.col("class") != "other"))
+    json = lambda x: F.to_json(x, {"ignoreNullFields": "false"})
+    figure = json(F.struct("element_index", "figure_number", "sheet_index", "text", "page_number"))
+    figs = sheets(c).select("pdf_id", F.lit("figures").alias("section"), F.col("element_index").alias("place"), figure.alias("item"))
+    table = json(F.struct("element_index", "page_number", "element_id"))
+    tabs = c.where(F.col("class") == "table").select("pdf_id", F.lit("tables").alias("section"), F.col("element_index").alias("place"), table.alias("item"))
+    value = F.concat(F.lit('"'), F.col("key"), F.lit('":'), json(F.struct("figure_pages", "figure_texts", "table_pages")))
+    prs = pairing(groups(c)).select("pdf_id", F.lit("pairing").alias("section"), F.col("pair_ordinal").alias("place"), value.alias("item"))
+    sections = F.explode(F.array(*map(F.lit, ("figures", "tables", "pairing")))).alias("section")
+    none = elements.select("pdf_id").distinct().select("pdf_id", sections, F.lit(-1).alias("place"), F.lit(None).cast("string").alias("item"))
+    return figs.unionByName(tabs).unionByName(prs).unionByName(none)
+
+
 def pairing_documents(elements: DataFrame, mode: str = "lenient") -> DataFrame:
-    """(pdf_id, document): figures, tables and pairing of a manual as JSON, for export."""
-    c = classify(elements, mode)
-    figs = sheets(c).groupBy("pdf_id").agg(F.array_sort(F.collect_list(F.struct("element_index", "figure_number", "sheet_index", "text", "page_number"))).alias("figures"))
-    tabs = c.where(F.col("class") == "table").groupBy("pdf_id").agg(F.array_sort(F.collect_list(F.struct("element_index", "page_number", "element_id"))).alias("tables"))
-    entry = F.struct("pair_ordinal", "key", F.struct("figure_pages", "figure_texts", "table_pages").alias("v"))
-    prs = pairing(groups(c)).groupBy("pdf_id").agg(F.array_sort(F.collect_list(entry)).alias("p"))
-    prs = prs.select("pdf_id", F.map_from_entries(F.transform("p", lambda e: F.struct(e["key"], e["v"]))).alias("pairing"))
-    ids = elements.select("pdf_id").distinct()
-    out = ids.join(figs, "pdf_id", "left").join(tabs, "pdf_id", "left").join(prs, "pdf_id", "left")
-    return out.select("pdf_id", F.to_json(F.struct("figures", "tables", "pairing"), {"ignoreNullFields": "false"}).alias("document"))
+    """(pdf_id, document): one JSON text a manual. For manuals that fit a row; `pairing_entries` is streamed to files instead."""
+    rows = pairing_entries(elements, mode).where("item is not null").groupBy("pdf_id", "section").agg(F.array_sort(F.collect_list(F.struct("place", "item"))).alias("e"))
+    joined = F.array_join(F.transform("e", lambda e: e["item"]), ",")
+    parts = rows.groupBy("pdf_id").agg(*[F.max(F.when(F.col("section") == s, joined)).alias(s) for s in ("figures", "tables", "pairing")])
+    text = F.concat(F.lit('{"figures":['), F.coalesce("figures", F.lit("")), F.lit('],"tables":['), F.coalesce("tables", F.lit("")), F.lit('],"pairing":{'), F.coalesce("pairing", F.lit("")), F.lit("}}"))
+    return elements.select("pdf_id").distinct().join(parts, "pdf_id", "left").select("pdf_id", text.alias("document"))

@@ -13,7 +13,7 @@ def run_summary(status: DataFrame) -> DataFrame:
 
 
 def corpus_summary(manifest: DataFrame) -> DataFrame:
-    """(pdf_id, n_rows, n_figures, n_figure_paths), manuals in the order they first appear is the caller's."""
+    """(pdf_id, n_rows, n_figures, n_figure_paths)"""
     return manifest.groupBy("pdf_id").agg(
         F.count("*").alias("n_rows"),
         F.countDistinct("figure").alias("n_figures"),
@@ -21,6 +21,11 @@ def corpus_summary(manifest: DataFrame) -> DataFrame:
     )
 
 
+def manuals_in_order(rows: DataFrame, place: str) -> DataFrame:
+    """(pdf_id, place): each manual once with its first place, in the order in which manuals first appear."""
+    return rows.groupBy("pdf_id").agg(F.min(place).alias("place")).orderBy("place", "pdf_id")
+
+
 def element_summary(classified: DataFrame) -> DataFrame:
     """(pdf_id, n_figures, n_tables, n_elements)"""
     count = lambda c: F.count_if(F.col("class") == c)

@@ -23,7 +23,7 @@ def _folder(path: Column, above: int) -> Column:
     return F.url_decode(F.replace(F.element_at(F.split(path, "/"), -1 - above), F.lit("+"), F.lit("%2B")))
 
 
-def read_elements(spark: SparkSession, path: str) -> DataFrame:
+def read_elements(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(pdf_id, element_index, type, element_id, page_number, text); the array index is kept."""
     docs = spark.read.text(path, wholetext=True).select(_folder(_path(), 1).alias("pdf_id"), F.from_json("value", ELEMENTS).alias("e"))
     rows = docs.select("pdf_id", F.posexplode("e").alias("element_index", "e"))
@@ -120,21 +120,62 @@ def datasets(spark: SparkSession, results: str, names: list[str] | None = None,
     return found, missing
 
 
-def manifests(spark: SparkSession, results: str, name: str = "dataset_manifest_local.tsv") -> tuple[list[DataFrame], list[str]]:
-    """(manifests, folders skipped because they have none). Raises if there is none at all."""
-    have, skipped = [], []
-    for folder, is_dir in _children(spark, results):
-        if is_dir:
-            files = [n for n, _ in _children(spark, f"{results}/{folder}")]
-            (have if name in files else skipped).append(folder)
-    if not have:
-        raise FileNotFoundError(f"no {name} below {results}")
-    return [read_manifest(spark, f"{results}/{f}/{name}") for f in have], skipped
-
+def manifests(spark: SparkSession, results: str, name: str = "dataset_manifest_local.tsv") -> tuple[DataFrame, list[str]]:
+    """(rows of all manifests, folders skipped because they have none or an empty one). Raises if there is none at all.
 
-def page_images(spark: SparkSession, path: str, content: bool = True) -> DataFrame:
-    """(pdf_id, kind, page_number, path[, png]) of PNG files, whatever the case of their suffix."""
-    files = spark.read.format("binaryFile").load(path).where(F.lower("path").endswith(".png"))
+    One listing and one scan, whatever the number of manuals: each file is cut into lines and
+    matched with its own header inside the JVM; a column that a file lacks is null. `line` is the
+    row's place in its file. Columns come in the order of the first manual that has them.
+    """
+    files = spark.read.text(f"{results}/*/{name}", wholetext=True) if exists(spark, f"{results}/*/{name}") else None
+    if files is None:
+        raise FileNotFoundError(f"no {name} below {results}")
+    lines = F.split(F.regexp_replace("value", "(?:\r\n|\n|\r)$", ""), "\r\n|\n|\r")
+    docs = files.select(_folder(_path(), 1).alias("pdf_id"), lines.alias("l"))
+    docs = docs.where(F.trim(F.get("l", F.lit(0))) != "").withColumn("names", F.split(F.get("l", F.lit(0)), "\t", -1))
+    heads = docs.select("pdf_id", "names").groupBy("names").agg(F.min("pdf_id").alias("p"))
+    # Distinct headers: as many as there are kinds of manifest, not as there are manuals.
+    columns = list(dict.fromkeys(c for r in heads.orderBy("p").toLocalIterator() for c in r.names if c != "pdf_id"))
+    rows = docs.select("pdf_id", "names", F.posexplode(F.slice("l", 2, F.greatest(F.size("l") - 1, F.lit(0)))).alias("line", "text")).where("text <> ''")
+    rows = rows.withColumn("v", F.split("text", "\t", -1))
+    at = lambda c: F.get("v", F.array_position("names", F.lit(c)).cast("int") - 1)
+    cells = [null_if_na(F.when(F.array_contains("names", c), _unquoted(at(c)))).alias(c) for c in columns]
+    held = [r[0] for r in docs.select("pdf_id").toLocalIterator()]
+    skipped = sorted({n for n, is_dir in _children(spark, results) if is_dir} - set(held))
+    return rows.select(*cells, "pdf_id", "line"), skipped
+
+
+def _unquoted(cell: Column) -> Column:
+    inner = F.regexp_replace(F.regexp_replace(cell, '^"|"$', ""), '""', '"')
+    return F.when(cell.rlike('(?s)^".*"$'), inner).otherwise(cell)
+
+
+def exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether any path matches."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return found is not None and len(found) > 0
+
+
+def usable_sets(spark: SparkSession, results: str, names: list[str] | None = None, subdir: str = "tables") -> tuple[list[str], list[tuple[str, str]]]:
+    """(sets with page images, (set, reason) of the others): missing, without the image folder, without images."""
+    found, missing = datasets(spark, results, names, strict=False)
+    skipped, good = [(n, "not found") for n in missing], []
+    for n in found:
+        inside = _children(spark, f"{results}/{n}/{subdir}")
+        if subdir not in [x for x, is_dir in _children(spark, f"{results}/{n}") if is_dir]:
+            skipped.append((n, f"no {subdir}/ folder"))
+        elif not any(x.lower().endswith(".png") for x, _ in inside):
+            skipped.append((n, f"no images in {subdir}/"))
+        else:
+            good.append(n)
+    return good, skipped
+
+
+def page_images(spark: SparkSession, path: str | list[str], content: bool = True, any_case: bool = True) -> DataFrame:
+    """(pdf_id, kind, page_number, path[, png]) of PNG files; `any_case` takes suffixes like `.PNG`, too."""
+    files = spark.read.format("binaryFile").load(path)
+    files = files.where((F.lower("path") if any_case else F.col("path")).endswith(".png"))
     cols = [
         _folder(F.col("path"), 2).alias("pdf_id"),
         F.regexp_replace(_folder(F.col("path"), 1), "s$", "").alias("kind"),
@@ -144,25 +185,79 @@ def page_images(spark: SparkSession, path: str, content: bool = True) -> DataFra
     return files.select(*cols, *([F.col("content").alias("png")] if content else []))
 
 
-def existing_outputs(spark: SparkSession, path: str) -> DataFrame:
-    """(out_path, pdf_id, page_number) of page tables there are."""
+def existing_outputs(spark: SparkSession, path: str, above: int = 2) -> DataFrame:
+    """(out_path, pdf_id, page_number) of page tables there are; the manual's folder is `above` levels over the file."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "page_*.tsv").load(path)
-    return files.select(F.col("path").alias("out_path"), _folder(F.col("path"), 2).alias("pdf_id"), page_of_name(_folder(F.col("path"), 0)).alias("page_number"))
+    return files.select(F.col("path").alias("out_path"), _folder(F.col("path"), above).alias("pdf_id"), page_of_name(_folder(F.col("path"), 0)).alias("page_number"))
+
+
+def default_partitioner(tables: bool = False):
+    """The installed PDF partitioner, or None: `partitioner(path, content) -> [dict]`. With `tables`, table structure is inferred."""
+    try:
+        from unstructured.partition.pdf import partition_pdf
+    except ImportError:
+        return None
+
+    def run(path: str, content: bytes) -> list[dict]:
+        import io
+
+        options = {"infer_table_structure": True} if tables else {"extract_image_block_types": ["Table"], "extract_image_block_to_payload": True}
+        return [e.to_dict() for e in partition_pdf(file=io.BytesIO(content), strategy="hi_res", **options)]
+
+    return run
+
+
+_ELEMENTS = "pdf_id string, element_index int, type string, element_id string, page_number int, text string"
 
 
 def partition_documents(pdfs: DataFrame, partitioner) -> DataFrame:
-    """Elements of PDF files (path, content) by a plugged-in `partitioner(bytes) -> [dict]`."""
-    src = pdfs.select(F.regexp_replace(_folder(F.col("path"), 0), r"(?i)\.pdf$", "").alias("pdf_id"), "content")
+    """Elements of PDF files (path, content) by a plugged-in `partitioner(path, content) -> [dict]`.
+
+    A file that can't be read gives no rows; `failed_documents` names it.
+    """
+    return _partitioned(pdfs, partitioner, failures=False)
+
+
+def failed_documents(pdfs: DataFrame, partitioner) -> DataFrame:
+    """(pdf_id, error) of the PDF files the partitioner can't read."""
+    return _partitioned(pdfs, partitioner, failures=True)
+
+
+def _partitioned(pdfs: DataFrame, partitioner, failures: bool) -> DataFrame:
+    src = pdfs.select(stem_of(F.col("path")).alias("pdf_id"), "path", "content")
 
     def run(batches):
         import pandas as pd
 
         for pdf in batches:
-            rows = []
-            for pdf_id, content in zip(pdf["pdf_id"], pdf["content"]):
-                for i, e in enumerate(partitioner(bytes(content))):
+            rows, errors = [], []
+            for pdf_id, path, content in zip(pdf["pdf_id"], pdf["path"], pdf["content"]):
+                try:
+                    found = partitioner(path, bytes(content))
+                except Exception as error:  # noqa: BLE001 - one unreadable file must not end the batch
+                    errors.append((pdf_id, str(error)))
+                    continue
+                for i, e in enumerate(found):
                     rows.append((pdf_id, i, e.get("type"), e.get("element_id"), (e.get("metadata") or {}).get("page_number"), e.get("text")))
-            out = pd.DataFrame(rows, columns=["pdf_id", "element_index", "type", "element_id", "page_number", "text"])
-            yield out.astype({"page_number": "Int32"})
+            if failures:
+                yield pd.DataFrame(errors, columns=["pdf_id", "error"])
+            else:
+                yield pd.DataFrame(rows, columns=["pdf_id", "element_index", "type", "element_id", "page_number", "text"]).astype({"page_number": "Int32"})
+
+    return src.mapInPandas(run, "pdf_id string, error string" if failures else _ELEMENTS)
+
+
+def stem_of(path: Column) -> Column:
+    """Name of a PDF file without folder and suffix: the manual, and the default folder of its results."""
+    return F.regexp_replace(_folder(path, 0), r"(?i)\.pdf$", "")
+
+
+def read_pdfs(spark: SparkSession, path: str, content: bool = True) -> DataFrame:
+    """(pdf_id, path[, content]) of a PDF file or of those in a folder."""
+    files = spark.read.format("binaryFile").load(path).where(F.lower("path").endswith(".pdf"))
+    return files.select(stem_of(F.col("path")).alias("pdf_id"), "path", *(["content"] if content else []))
+
 
-    return src.mapInPandas(run, "pdf_id string, element_index int, type string, element_id string, page_number int, text string")
+def figure_blocks(elements: DataFrame) -> DataFrame:
+    """Image blocks among elements: what a figure extraction keeps."""
+    return elements.where(F.col("type") == "Image")
