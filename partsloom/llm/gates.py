@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Bits for each code, and at most in all (32 MB).
-PER_CODE, MOST = 32, 1 << 28
+PER_CODE, MOST = 16, 1 << 28
 _SHIFTS = (0, 28)
 
 
