@@ -26,8 +26,14 @@ class UnknownProvider(ValueError):
 
 
 def stub(_: Config) -> Extractor:
-    """Deterministic stand-in: the image's bytes, read as text, are the answer."""
-    return lambda png: png.decode("utf-8", "replace")
+    """Deterministic stand-in: the image's bytes, read as text, are the answer; an image without bytes is an error."""
+
+    def call(png: bytes) -> str:
+        if not png:
+            raise ValueError("empty image")
+        return png.decode("utf-8", "replace")
+
+    return call
 
 
 def _key(variable: str) -> str:
@@ -110,6 +116,11 @@ def rate_limited(message: str) -> bool:
     return "rate" in message.lower() or "429" in message
 
 
+def rate_limited_column(message):
+    """The same test over a column of error messages, for reports."""
+    return F.lower(message).contains("rate") | message.contains("429")
+
+
 def call_with_retry(extractor: Extractor, png: bytes, cfg: Config, sleep=time.sleep, is_rate_limit=rate_limited) -> tuple[str | None, str, str | None, int]:
     """(raw, status, error, attempts). Only rate limits are tried again, after a wait that grows."""
     wait = cfg.delay_seconds
@@ -176,5 +187,5 @@ def extraction_run(images: DataFrame, cfg: Config, raw_path: str, existing: Data
 
 
 def quantity_value(value):
-    """A quantity as a number, null where it is blank or none."""
-    return F.trim(value).try_cast("int")
+    """A quantity as a number, null where it is blank or no whole number of up to nine digits."""
+    return F.when(F.trim(value).rlike("^[0-9]{1,9}$"), F.trim(value).cast("int"))

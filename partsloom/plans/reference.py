@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +16,9 @@ from partsloom.operators import pages as PG
 from partsloom.operators import pairing as P
 from partsloom.operators import stats as S
 from partsloom.operators import tables as T
-from partsloom.session import cut_lineage, table
+from partsloom.schemas import COLUMNS, NA_SPELLINGS
+from partsloom.session import cut_lineage, stage_folder, table
+from partsloom.sources import readers, sinks
 from partsloom.streaming.pages import arrivals
 
 # -- inputs
@@ -86,12 +90,10 @@ def _local(s, d) -> DataFrame:
     return M.within_threshold(_manifest_rows(s, d))
 
 
-#: The day of a run that is carried on: pages extracted before it have their output.
-_AS_OF = "2024-07-01"
-
-
 def _extracted(s, d) -> DataFrame:
-    return table(s, d, "page_n").where(F.col("extracted_at") < F.lit(_AS_OF).cast("timestamp_ntz")).select("pdf_id", "page_number").distinct()
+    """Pages that have their table: those of the manifest."""
+    pages = table(s, d, "dataset_manifest_global").select("pdf_id", X.page_of_name(F.col("tsv_path")).alias("page_number"))
+    return pages.where("page_number is not null").distinct()
 
 
 def _present(s, d) -> DataFrame:
@@ -109,10 +111,59 @@ def _existing(s, d) -> DataFrame:
     return _extracted(s, d).select(F.format_string("%s/table_data/page_%d.tsv", "pdf_id", "page_number").alias("out_path"))
 
 
-def _status(s, d) -> DataFrame:
-    work = _work(s, d).join(_existing(s, d).withColumn("done", F.lit(True)), "out_path", "left")
-    status = F.when(F.col("done"), "skipped").when(F.col("page_number") % 10 == 3, "failed").otherwise("succeeded")
-    return work.select("pdf_id", status.alias("status"))
+def _run(s, d) -> DataFrame:
+    """An extraction run over the raw page text as images; pages with a manifest row are done already."""
+    images = _raw(s, d).select("pdf_id", "page_number", F.encode("raw", "UTF-8").alias("png"))
+    return EX.extraction_run(images, Config(delay_seconds=0.0, calls=8), f"{stage_folder(s)}/{uuid.uuid4().hex}", _extracted(s, d))
+
+
+# -- a result tree, written and read back
+
+
+def _tree(s) -> str:
+    return f"{stage_folder(s)}/tree-{uuid.uuid4().hex}"
+
+
+def element_files(s, d):
+    root = _tree(s)
+    sinks.write_elements(_elements(s, d), root)
+    return readers.read_elements(s, f"{root}/*/images_tables_metadata.json")
+
+
+def pairing_files(s, d):
+    root = _tree(s)
+    sinks.write_pairing(P.pairing_entries(_elements(s, d)), root)
+    join = lambda c: F.array_join(c, ",").alias(c)
+    return readers.read_pairing(s, f"{root}/*/figures_tables_pages.json").select("pdf_id", "key", "pair_ordinal", join("figure_pages"), join("figure_texts"), join("table_pages"))
+
+
+def page_files(s, d):
+    """Sanitised pages written as files and read back as table rows."""
+    root = _tree(s)
+    sinks.write_page_tables(_raw(s, d).select("pdf_id", "page_number", X.sanitize(F.col("raw")).alias("tsv")), root)
+    return readers.wide_tables(readers.read_tables(s, f"{root}/*/table_data"))
+
+
+def image_files(s, d):
+    root = _tree(s)
+    png = F.encode("raw", "UTF-8").alias("png")
+    sinks.write_images(_raw(s, d).select("pdf_id", F.lit("table").alias("kind"), "page_number", png), root)
+    images = readers.page_images(s, f"{root}/*/tables")
+    return images.select("pdf_id", "kind", "page_number", F.decode("png", "UTF-8").alias("body"))
+
+
+def existing_files(s, d):
+    root = _tree(s)
+    sinks.write_page_tables(_raw(s, d).select("pdf_id", "page_number", X.sanitize(F.col("raw")).alias("tsv")), root)
+    return readers.existing_outputs(s, f"{root}/*/table_data").select("pdf_id", "page_number")
+
+
+def manifest_files(s, d):
+    """Local manifests written a manual, read at once and merged."""
+    root = _tree(s)
+    sinks.write_local_manifests(_local(s, d), root)
+    found, _ = readers.manifests(s, root)
+    return M.global_manifest(found).drop("line")
 
 
 def _global(s, d) -> DataFrame:
@@ -154,6 +205,33 @@ def extract_stub(s, d):
     return EX.sanitized(EX.extract(images, Config(delay_seconds=0.0))).select("pdf_id", "page_number", "status", "tsv")
 
 
+def pairing_documents(s, d):
+    return P.pairing_documents(_elements(s, d))
+
+
+def pair_order(s, d):
+    pairs = P.pairs(_grouped(s, d))
+    return pairs.select("pdf_id", "key", P.pair_order(F.col("key")).alias("o")).select("pdf_id", "key", "o.*")
+
+
+def output_paths(s, d):
+    """Where the table of each page image goes, in the three layouts."""
+    png = F.concat(F.lit("/results/"), X.relativize(F.col("table_path"), F.col("pdf_id"))).alias("png")
+    images = table(s, d, "dataset_manifest_global").select(png).where("png is not null").distinct()
+    return images.select("png", *[X.output_path(F.col("png"), layout, "/out").alias(layout) for layout in ("beside", "apart", "flat")])
+
+
+def wrapped_lines(s, d):
+    line = F.struct("line_no", "line_id", "line")
+    pages = table(s, d, "page_lines").where("line is not null").groupBy("pdf_id", "page_number").agg(F.array_sort(F.collect_list(line)).alias("l"))
+    return pages.select("pdf_id", "page_number", X.join_wrapped(F.transform("l", lambda x: x["line"])).alias("joined"))
+
+
+def cell_uocs(s, d):
+    cell = F.concat(F.coalesce("description", F.lit("")), F.lit("\nUOC: "), F.coalesce("uoc", F.lit("")), F.lit("\nuoc:"), F.coalesce("item_no", F.lit("")))
+    return table(s, d, "page_n").select("row_id", X.uoc_of_cell(cell).alias("uoc"))
+
+
 def line_arrivals(s, d):
     return arrivals(table(s, d, "page_lines")).select(F.col("window.start").alias("hour"), "source", "n")
 
@@ -171,7 +249,8 @@ QUERIES = {
     "figure_groups": lambda s, d: _grouped(s, d).select("pdf_id", "element_index", "class", "figure_number", "group_id"),
     "group_table_pages": group_table_pages,
     "figure_table_pairing": figure_table_pairing,
-    "pairing_documents": lambda s, d: P.pairing_documents(_elements(s, d)),
+    "pairing_documents": pairing_documents,
+    "pair_order": pair_order,
     "pages_to_render": lambda s, d: PG.required_pages(_classified(s, d)),
     "missing_pages": lambda s, d: PG.missing_pages(PG.required_pages(_classified(s, d)), _present(s, d)),
     "sanitize_fences": _mapped(X.strip_fences),
@@ -193,7 +272,22 @@ QUERIES = {
     "relativize_paths": lambda s, d: M.relative_paths(table(s, d, "dataset_manifest_global")),
     "global_manifest": _global,
     "work_pending": lambda s, d: EX.pending(_work(s, d), _existing(s, d)),
-    "run_summary": lambda s, d: S.run_summary(_status(s, d)),
+    "run_summary": lambda s, d: S.run_summary(_run(s, d)),
+    "extraction_run": lambda s, d: _run(s, d).select("pdf_id", "page_number", "status", "attempts", "tsv"),
+    "rate_limit_errors": lambda s, d: table(s, d, "documents").select("doc_id", EX.rate_limited_column(F.col("text")).alias("limited")),
+    "manuals_in_order": lambda s, d: S.manuals_in_order(table(s, d, "page_n"), "row_id"),
+    "page_numbers": lambda s, d: table(s, d, "dataset_manifest_global").select("tsv_path", X.page_of_name(F.col("tsv_path")).alias("page_number")).distinct(),
+    "output_paths": output_paths,
+    "sub_components": lambda s, d: table(s, d, "page_lines").select("line_id", X.is_sub_component(F.regexp_extract("line", "[0-9]\\) ?[0-9].*$", 0)).alias("sub")),
+    "wrapped_lines": wrapped_lines,
+    "cell_uocs": cell_uocs,
+    "quantity_values": lambda s, d: table(s, d, "page_n").select("row_id", EX.quantity_value(F.col("quantity")).alias("quantity")),
+    "element_files": element_files,
+    "pairing_files": pairing_files,
+    "page_files": page_files,
+    "image_files": image_files,
+    "existing_files": existing_files,
+    "manifest_files": manifest_files,
     "corpus_summary": lambda s, d: S.corpus_summary(M.relative_paths(table(s, d, "dataset_manifest_global"))),
     "extract_stub": extract_stub,
     "image_base64": _mapped(lambda raw: X.base64_text(F.encode(raw, "UTF-8"))),
@@ -285,9 +379,11 @@ _S = (
           lambda c: array_to_string(CASE WHEN len(c) > 3 THEN list_concat(c[1:3], [regexp_replace(regexp_replace(c[4], {_STRIP}), '(?i)^UOC:{_W}*', '')], c[5:]) ELSE c END, chr(9))) AS rows FROM b)
 """
 )
+_DONE = r"""done AS (SELECT DISTINCT pdf_id, TRY_CAST(regexp_extract(tsv_path, '(?:^|/)page_(.+)\.tsv$', 1) AS INTEGER) AS page_number FROM dataset_manifest_global
+        WHERE TRY_CAST(regexp_extract(tsv_path, '(?:^|/)page_(.+)\.tsv$', 1) AS INTEGER) IS NOT NULL)"""
 _WORK = (
     _E
-    + f""", done AS (SELECT DISTINCT pdf_id, page_number FROM page_n WHERE extracted_at < TIMESTAMP '{_AS_OF}'),
+    + f""", {_DONE},
     rq AS (SELECT DISTINCT pdf_id, class AS kind, page_number FROM c WHERE class <> 'other' AND page_number IS NOT NULL),
     ps AS (SELECT pdf_id, 'table' AS kind, page_number FROM done UNION SELECT pdf_id, 'figure', page_number FROM figures),
     wk AS (SELECT pdf_id, page_number, pdf_id || '/table_data/page_' || page_number || '.tsv' AS out_path FROM rq WHERE kind = 'table'),
@@ -303,6 +399,14 @@ def _relative(column: str) -> str:
 
 
 _REL = ", ".join(map(_relative, ("figure_path", "table_path", "tsv_path")))
+_RUN = (
+    _S
+    + f""", {_DONE},
+    st AS (SELECT r.pdf_id, r.page_number, CASE WHEN done.pdf_id IS NOT NULL THEN 'skipped' WHEN raw = '' THEN 'failed' ELSE 'succeeded' END AS status,
+        CASE WHEN done.pdf_id IS NULL AND raw <> '' THEN array_to_string(list_concat([first], rows), chr(10)) END AS tsv
+      FROM r LEFT JOIN f USING (pdf_id, page_number) LEFT JOIN done USING (pdf_id, page_number))
+"""
+)
 _SYNONYMS = ", ".join(f"('{w}', '{c}')" for c, words in X.HEADER_SYNONYMS.items() for w in words)
 
 ORACLE = {
@@ -344,11 +448,52 @@ ORACLE = {
     "relativize_paths": f"SELECT pdf_id, figure, {_REL} FROM dataset_manifest_global",
     "global_manifest": _M + f", u AS (SELECT pdf_id, figure_path, CASE WHEN pdf_id <> 'data-1' THEN table_path END AS table_path, tsv_path, figure FROM lm) SELECT pdf_id, figure, {_REL} FROM u",
     "work_pending": _WORK + "SELECT * FROM wk WHERE out_path NOT IN (SELECT out_path FROM ex)",
-    "run_summary": _WORK
-    + """, st AS (SELECT wk.pdf_id, CASE WHEN ex.out_path IS NOT NULL THEN 'skipped' WHEN wk.page_number % 10 = 3 THEN 'failed' ELSE 'succeeded' END AS status
-           FROM wk LEFT JOIN ex USING (out_path))
-         SELECT pdf_id, count(*) FILTER (status = 'succeeded') AS succeeded, count(*) FILTER (status = 'skipped') AS skipped, count(*) FILTER (status = 'failed') AS failed
+    "run_summary": _RUN
+    + """SELECT pdf_id, count(*) FILTER (status = 'succeeded') AS succeeded, count(*) FILTER (status = 'skipped') AS skipped, count(*) FILTER (status = 'failed') AS failed
          FROM st GROUP BY ROLLUP (pdf_id)""",
+    "extraction_run": _RUN + "SELECT pdf_id, page_number, status, CAST(CASE WHEN status = 'skipped' THEN 0 ELSE 1 END AS INTEGER) AS attempts, tsv FROM st",
+    "rate_limit_errors": "SELECT doc_id, contains(lower(text), 'rate') OR contains(text, '429') AS limited FROM documents",
+    "manuals_in_order": "SELECT pdf_id, min(row_id) AS place FROM page_n GROUP BY pdf_id",
+    "page_numbers": r"""SELECT DISTINCT tsv_path, TRY_CAST(CASE WHEN regexp_matches(tsv_path, '(?:^|/)page_(.+)\.tsv$') THEN regexp_extract(tsv_path, '(?:^|/)page_(.+)\.tsv$', 1) END AS INTEGER)
+        AS page_number FROM dataset_manifest_global""",
+    "output_paths": f"""WITH m AS (SELECT DISTINCT '/results/' || table_path AS png FROM (SELECT pdf_id, {_relative("table_path")} FROM dataset_manifest_global) WHERE table_path IS NOT NULL),
+        p AS (SELECT png, regexp_extract(png, '([^/]+)\\.[Pp][Nn][Gg]$', 1) || '.tsv' AS f, regexp_extract(png, '([^/]+)/[^/]+/[^/]+$', 1) AS folder,
+          regexp_extract(png, '^(.*)/[^/]+/[^/]+$', 1) AS root FROM m)
+        SELECT png, root || '/table_data/' || f AS beside, '/out/' || folder || '/' || f AS apart, '/out/' || f AS flat FROM p""",
+    "pair_order": _G
+    + """SELECT pdf_id, key, TRY_CAST(string_split(key, '_')[1] AS INTEGER) AS figure, coalesce(TRY_CAST(string_split(key, '_')[2] AS INTEGER), 0) AS sheet FROM pr""",
+    "pairing_documents": _G
+    + """, fg AS (SELECT pdf_id, string_agg(to_json({'element_index': element_index, 'figure_number': figure_number, 'sheet_index': CAST(si AS INTEGER), 'text': text, 'page_number': page_number}), ','
+           ORDER BY element_index) AS figures FROM (SELECT *, row_number() OVER (PARTITION BY pdf_id, figure_number ORDER BY element_index) AS si FROM c WHERE class = 'figure') GROUP BY pdf_id),
+         tb AS (SELECT pdf_id, string_agg(to_json({'element_index': element_index, 'page_number': page_number, 'element_id': element_id}), ',' ORDER BY element_index) AS tables
+           FROM c WHERE class = 'table' GROUP BY pdf_id),
+         ta AS (SELECT pdf_id, group_id, list(table_page ORDER BY first_index) AS table_pages FROM tp GROUP BY ALL),
+         pg AS (SELECT pdf_id, string_agg('"' || key || '":' || to_json({'figure_pages': CASE WHEN figure_page IS NULL THEN [] ELSE [figure_page] END, 'figure_texts': [figure_text],
+           'table_pages': coalesce(table_pages, [])}), ',' ORDER BY pair_ordinal) AS pairing FROM pr LEFT JOIN ta USING (pdf_id, group_id) GROUP BY pdf_id)
+         SELECT DISTINCT pdf_id, '{"figures":[' || coalesce(figures, '') || '],"tables":[' || coalesce(tables, '') || '],"pairing":{' || coalesce(pairing, '') || '}}' AS document
+         FROM c LEFT JOIN fg USING (pdf_id) LEFT JOIN tb USING (pdf_id) LEFT JOIN pg USING (pdf_id)""",
+    "sub_components": r"""SELECT line_id, regexp_matches(regexp_extract(line, '[0-9]\) ?[0-9].*$', 0), '{SUB}') AS sub FROM page_lines""".replace("{SUB}", X.SUB_COMPONENT),
+    "wrapped_lines": rf"""SELECT pdf_id, page_number, coalesce(string_agg(trim(line), ' ' ORDER BY line_no NULLS FIRST, line_id) FILTER (NOT regexp_matches(line, '(?i)^[\s\x0b]*UOC:')
+        AND NOT regexp_matches(line, '{X.SUB_COMPONENT}')), '') AS joined FROM page_lines WHERE line IS NOT NULL GROUP BY ALL""",
+    "cell_uocs": r"""SELECT row_id, array_to_string(list_transform(regexp_extract_all(coalesce(description, '') || chr(10) || 'UOC: ' || coalesce(uoc, '') || chr(10) || 'uoc:' || coalesce(item_no, ''),
+        '(?im)^UOC:[ \t]*(.*)$', 1), lambda x: trim(x)), ' ') AS uoc FROM page_n""",
+    "quantity_values": r"""SELECT row_id, CASE WHEN regexp_full_match(trim(quantity), '[0-9]{1,9}') THEN CAST(trim(quantity) AS INTEGER) END AS quantity FROM page_n""",
+    "element_files": _E
+    + """SELECT pdf_id, CAST(row_number() OVER (PARTITION BY pdf_id ORDER BY element_index) - 1 AS INTEGER) AS element_index, type, element_id, page_number,
+           (SELECT d.text FROM d WHERE d.rn = 1 AND d.pdf_id = e.pdf_id AND d.element_index = e.element_index) AS text FROM e""",
+    "pairing_files": _G
+    + """, ta AS (SELECT pdf_id, group_id, string_agg(table_page, ',' ORDER BY first_index) AS table_pages FROM tp GROUP BY ALL)
+         SELECT pdf_id, key, CAST(row_number() OVER (PARTITION BY pdf_id ORDER BY pair_ordinal) - 1 AS INTEGER) AS pair_ordinal, coalesce(CAST(figure_page AS VARCHAR), '') AS figure_pages,
+           figure_text AS figure_texts, coalesce(table_pages, '') AS table_pages FROM pr LEFT JOIN ta USING (pdf_id, group_id)""",
+    "page_files": _S
+    + """, wf AS (SELECT pdf_id, page_number, string_split(first, chr(9)) AS names, list_transform(rows, lambda x: string_split(x, chr(9))) AS rs FROM f),
+         ro AS (SELECT pdf_id, page_number, names, i - 1 AS row_idx, rs[i] AS v FROM (SELECT *, unnest(range(1, len(rs) + 1)) AS i FROM wf WHERE len(list_filter(rs, lambda x: len(x) > len(names))) = 0))
+         SELECT pdf_id, page_number, CAST(row_idx AS INTEGER) AS row_idx, """
+    + ", ".join(f"CASE WHEN v[{i}] NOT IN ({', '.join(repr(x) for x in NA_SPELLINGS)}) THEN v[{i}] END AS {c}" for i, c in enumerate(COLUMNS, 1))
+    + " FROM ro",
+    "image_files": _R + "SELECT pdf_id, 'table' AS kind, page_number, raw AS body FROM r",
+    "existing_files": _R + "SELECT pdf_id, page_number FROM r",
+    "manifest_files": _M + f"SELECT pdf_id, figure, {_REL} FROM lm",
     "corpus_summary": f"""WITH m AS (SELECT pdf_id, figure, {_REL} FROM dataset_manifest_global)
         SELECT pdf_id, count(*) AS n_rows, count(DISTINCT figure) AS n_figures, count(DISTINCT figure_path) AS n_figure_paths FROM m GROUP BY pdf_id""",
     "extract_stub": _S + "SELECT pdf_id, page_number, 'succeeded' AS status, array_to_string(list_concat([first], rows), chr(10)) AS tsv FROM f",
