@@ -35,10 +35,11 @@ from partsloom.llm import tokens as K
 from partsloom.llm.gates import Gate, gate_of, shared_gate
 from partsloom.session import broadcast_if_small, cut_lineage
 
-#: Support of a pattern; shares of its instances that must have its type.
-SUPPORT = 3
+#: Support of a pattern, and of spellings of addresses, names behind a form of address and Japanese names, most of which
+#: are seeds; shares of a pattern's instances that must have its type.
+SUPPORT, SEED_SUPPORT = 3, 2
 NUMBER_CONFIDENCE, NAME_CONFIDENCE, ADDRESS_CONFIDENCE, WORD_SHARE, KNOWN_WORDS = 0.9, 0.6, 0.6, 0.1, 0.4
-ROUNDS = 3
+ROUNDS = 4  # at most
 #: Code points handled at once, in whole texts.
 CHUNK = 200_000
 
@@ -108,10 +109,15 @@ JA_BLOCK = re.compile(rf"(?<![㐀-鿿々ヶケ])({_JA_SUR}[ 　]?(?:[㐀-鿿々]
 #: What a text must hold for a shape to be looked for (linear-time supersets of the shapes above).
 _MAY_EMAIL = r"(?i)[@＠]|[\[({]\s?at\s?[\])}]|\sat\s+[^\s]+\s+dot\s|\sarroba\s"
 _MAY_NUMBER = r"(?:[0-9][ \x{a0}().\-/+]{0,3}){4}[0-9]|(?:[A-Za-z\-]*[0-9]){5}"
-_MAY_ADDRESS = (
-    rf"(?i)[0-9][a-z]?\s+(?:\S+\s+){{1,3}}{_EN_STREET.replace('?:', '')}|[0-9],?(?:\s?(?:bis|ter|quater))?,?\s+{_FR_STREET}\s"
-    r"|(?:Calle|C/|Avenida|Avda|Av\.|Pza|P\.?º|Paseo|Plaza|Camino|Ronda|Carrera|Travesía)\s*\S"
-    rf"|{_DE_STREET}\s+[0-9]|[㐀-鿿々ヶケ][0-9]{{1,2}}-[0-9]"
+_MAY_FRENCH = rf"(?i)[0-9](?:\s?(?:bis|ter|quater))?,?\s+{_FR_STREET}\s"
+#: The same for each of `ADDRESSES`.
+_MAY_ADDRESSES = (
+    _MAY_FRENCH,
+    _MAY_FRENCH,
+    r"(?i)(?:Calle|C/|Avenida|Avda|Av\.|Pza|P\.?º|Paseo|Plaza|Camino|Ronda|Carrera|Travesía)\s*\S",
+    rf"(?i)[0-9][a-z]?\s+(?:\S+\s+){{1,3}}{_EN_STREET}",
+    rf"(?i){_DE_STREET}\s+[0-9]",
+    r"[㐀-鿿々ヶケ][0-9]{1,2}-[0-9]",
 )
 _MAY_STREETLIKE = r"[0-9][a-z]?\s[A-ZÀ-Þ]\p{Ll}\S*\s[A-ZÀ-Þ]\p{Ll}|[^\s.!?][ \t][A-ZÀ-Þ]\p{Ll}\S*[ \t][0-9]"
 _MAY_JAPANESE = r"[㐀-鿿]{2}"
@@ -119,6 +125,9 @@ _MAY_JAPANESE = r"[㐀-鿿]{2}"
 _MAY_TEACH = rf"\p{{Lu}}[\p{{L}}\p{{M}}'’\-]*(?:,\s*|\.\s*|\s+|-)\p{{Lu}}|(?i:{'|'.join(FORMS)})"
 
 _WORD = re.compile(rf"{_L}+")
+_SHAPE = re.compile(rf"\d+|{_L}+")
+#: Digits enough for a candidate, near each other or within one word.
+_ENOUGH = re.compile(r"\d(?:[  ().\-/]{0,3}\d){4}|\d(?:[A-Za-z\-]*+\d){4}")
 _MANY = 5, 8, 6  # digits of a number that is a candidate; of one that is folded to a token; of one with letters
 
 _CODES = {name: np.array([K.code_of(w) for w in words], dtype=np.uint64) for name, words in (("forms", FORMS), ("particles", PARTICLES), ("hyphen", "-"), ("comma", ","), ("slash", "/"))}
@@ -136,8 +145,29 @@ def mask(value: str) -> str:
     return re.sub(r"[^\W\d_]", "A", re.sub(r"\d", "9", value))
 
 
-def shapes_of(text: str, email: bool, number: bool, address: bool, streetlike: bool) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
-    """(spans folded to tokens, spans only proposed) of a text, each sorted and without overlaps."""
+def _numbers(text: str):
+    """What `NUMBER.finditer` gives with enough digits, looked for only where there are so many."""
+    at = 0
+    while m := _ENOUGH.search(text, at):
+        first = start = m.start()
+        while start > at and (text[start - 1].isalnum() or text[start - 1] == "-"):
+            start -= 1
+        # From the run's beginning, with signs before it, up to the digit.
+        end = 0
+        for k in range(max(at, start - 2), first + 1):
+            if found := NUMBER.match(text, k):
+                end = found.end()
+                if end > first:
+                    yield found
+                    break
+        at = max(end, first + 1)
+
+
+def shapes_of(text: str, email: bool, number: bool, addresses: tuple, streetlike: bool) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
+    """(spans folded to tokens, spans only proposed) of a text, each sorted and without overlaps.
+
+    The flags say which shapes are worth looking for; `addresses` are the shapes themselves.
+    """
     spans: list[tuple[int, int, str]] = []
     loose: list[tuple[int, int, str]] = []
     free = text
@@ -156,12 +186,11 @@ def shapes_of(text: str, email: bool, number: bool, address: bool, streetlike: b
 
     if email:
         take(EMAIL.finditer(free), "email")
-    if address:
-        for shape in ADDRESSES:
-            take(shape.finditer(free), "address")
+    for shape in addresses:
+        take(shape.finditer(free), "address")
     if number:
         few = []
-        for m in NUMBER.finditer(free):
+        for m in _numbers(free):
             digits = sum(map(str.isdigit, m.group()))
             if digits >= _MANY[0]:
                 few.append((m, digits >= (_MANY[2] if re.search("[A-Za-z]", m.group()) else _MANY[1])))
@@ -213,8 +242,8 @@ class Reader:
     def __init__(self, texts: list[str], flags: list[tuple[bool, ...]]):
         self.texts, self.spans, self.loose, self.japanese = texts, [], [], []
         entities = []
-        for t, (text, (email, number, address, streetlike, kanji)) in enumerate(zip(texts, flags)):
-            spans, loose = shapes_of(text, email, number, address, streetlike) if email or number or address or streetlike else ([], [])
+        for t, (text, (email, number, streetlike, kanji, addresses)) in enumerate(zip(texts, flags)):
+            spans, loose = shapes_of(text, email, number, addresses, streetlike) if email or number or addresses or streetlike else ([], [])
             entities += [(t, *s) for s in spans]
             self.spans += [(t, *s) for s in spans]
             self.loose += [(t, *s) for s in loose]
@@ -360,7 +389,7 @@ class Reader:
                     yield t, a, b, "n", label_of(value), sure, [f"n# {mask(value)}"], self.side_keys("n", i, j)
                 else:
                     words = [f"a {w}" for w in dict.fromkeys(_WORD.findall(value.lower()))]
-                    yield t, a, b, "a", "address" if firm else None, False, [*words, f"a# {re.sub(r'[^\W\d_]+', 'w', mask(value).replace('A', 'w'))}"], self.side_keys("a", i, j)
+                    yield t, a, b, "a", "address" if firm else None, False, [*words, f"a# {_SHAPE.sub(lambda m: '9' if m[0][0].isdigit() else 'w', value)}"], self.side_keys("a", i, j)
         for t, a, b, seed in self.japanese:
             i, j = self.places(t, a, b)
             value = self.texts[t][a:b]
@@ -373,7 +402,7 @@ class Reader:
             i = f + 1
             if i < s.n and s.raw(i) == "." and s.end[f] == s.begin[i]:
                 i += 1
-            if i < s.n and s.word[i] and (s.cap[i] or not s.cap[f]) and s.owner[i] == s.owner[f]:
+            if i < s.n and s.word[i] and (s.cap[i] or not s.cap[f]) and s.owner(i) == s.owner(f):
                 j = i + 1
                 while j + 1 < s.n and s.raw(j) == "-" and s.end[j - 1] == s.begin[j] and s.end[j] == s.begin[j + 1] and s.word[j + 1]:
                     j += 2
@@ -397,13 +426,17 @@ def _readers(column, teaching: bool = False):
     """(place of the first text, reader) over an Arrow column of texts; with `teaching` only of those that can teach."""
     import pyarrow.compute as pc
 
-    shapes = [pc.match_substring_regex(column, p) for p in (_MAY_EMAIL, _MAY_NUMBER, _MAY_ADDRESS, _MAY_STREETLIKE, _MAY_JAPANESE)]
+    shapes = [pc.match_substring_regex(column, p) for p in (_MAY_EMAIL, _MAY_NUMBER, _MAY_STREETLIKE, _MAY_JAPANESE)]
+    address = pc.match_substring_regex(column, "|".join(dict.fromkeys(_MAY_ADDRESSES)))
     if teaching:
         useful = pc.match_substring_regex(column, _MAY_TEACH)
-        for s in shapes:
+        for s in (*shapes, address):
             useful = pc.or_(useful, s)
-        column, shapes = column.filter(useful), [s.filter(useful) for s in shapes]
-    shapes = [s.to_pylist() for s in shapes]
+        column, address, shapes = column.filter(useful), address.filter(useful), [s.filter(useful) for s in shapes]
+    some = column.filter(address)
+    which = iter(zip(*[pc.match_substring_regex(some, p).to_pylist() for p in _MAY_ADDRESSES]))
+    found = [tuple(s for s, w in zip(ADDRESSES, next(which)) if w) if a else () for a in address.to_pylist()]
+    shapes = [*[s.to_pylist() for s in shapes], found]
     yield from _chunks(column.to_pylist(), list(zip(*shapes)))
 
 
@@ -463,10 +496,11 @@ def _promoted(tallies: DataFrame, spelling: bool) -> DataFrame:
     kind = F.substring("key", 1, 1)
     told, share = F.col("hits") / F.col("labelled"), F.col("hits") / F.col("total")
     number = (F.col("hits") >= SUPPORT) & (told >= NUMBER_CONFIDENCE)
+    support = F.when(kind.isin(*(["a", "f", "j"] if spelling else ["f", "j"])), SEED_SUPPORT).otherwise(SUPPORT)
     if spelling:
-        ok = F.when(kind == "n", number & (share >= 0.5)).when(kind == "a", (F.col("hits") >= SUPPORT) & (share >= ADDRESS_CONFIDENCE)).otherwise(share >= WORD_SHARE)
+        ok = F.when(kind == "n", number & (share >= 0.5)).when(kind == "a", (F.col("hits") >= support) & (share >= ADDRESS_CONFIDENCE)).otherwise(share >= WORD_SHARE)
     else:
-        ok = F.when(kind == "n", number).when(kind == "a", (F.col("hits") >= SUPPORT) & (share >= ADDRESS_CONFIDENCE)).otherwise((F.col("hits") >= SUPPORT) & (share >= NAME_CONFIDENCE))
+        ok = F.when(kind == "n", number).otherwise((F.col("hits") >= support) & (share >= F.when(kind == "a", ADDRESS_CONFIDENCE).otherwise(NAME_CONFIDENCE)))
     # A number's shape is common to many corpora of numbers, so it weighs half as much as a context.
     weight = F.when(kind == "n", told * F.log1p("labelled") * (0.5 if spelling else 1.0)).otherwise(share * F.log1p("total"))
     return tallies.where((F.col("hits") > 0) & ok).select("key", "type", weight.alias("score"), "gate")
@@ -488,13 +522,18 @@ def learned_patterns(df: DataFrame, text: str = "text", rounds: int = ROUNDS) ->
     # Instances of equal spelling and context are one node with a weight.
     nodes = rows.groupBy("kind", "label", "marks", "keys", "gates").agg(F.count("*").alias("n"))
     nodes = cut_lineage(nodes.withColumn("id", F.monotonically_increasing_id()))
-    seen = nodes.withColumn("c", F.col("label"))
+    seen, before = nodes.withColumn("c", F.col("label")), None
     for step in range(rounds):
         marks = cut_lineage(_promoted(_tallies(seen, "marks", "c"), spelling=True))
         spoken = nodes.join(_votes(nodes, "marks", marks), "id", "left")
         known = F.when(F.col("share") > KNOWN_WORDS, F.col("type"))
         label = F.when(F.col("kind").isin("w", "f"), known).otherwise(F.coalesce("label", known))
         contexts = cut_lineage(_promoted(_tallies(spoken.withColumn("s", label), "keys", "s"), spelling=False))
+        # The same patterns as in the round before: nothing more will be learned.
+        now = tuple(contexts.agg(F.count("*"), F.bit_xor(F.xxhash64("key", "type"))).first())
+        if now == before:
+            break
+        before = now
         if step < rounds - 1:
             seen = nodes.join(_votes(nodes, "keys", contexts), "id", "left").withColumn("c", F.coalesce("label", "type"))
     # Words of names and silent contexts taught others; they decide nothing alone.
@@ -524,7 +563,7 @@ def _found(r: Reader, gate: Gate) -> dict[int, list[list]]:
         out.setdefault(t, []).append([kind, seed, sure, a, b, 0, [*keys, *marks], True, True, False, 0])
 
     def say(kind, i, j, keys, cased=True, begins=True, lead=False, width=0):
-        t = int(s.owner[i])
+        t = int(s.owner(i))
         x = int(s.base[t])
         out.setdefault(t, []).append([kind, None, False, int(s.begin[i]) - x, int(s.end[j - 1]) - x, 0, keys, cased, begins, lead, width])
 
@@ -533,8 +572,7 @@ def _found(r: Reader, gate: Gate) -> dict[int, list[list]]:
     i, j = r.names()
     b, a, right = (gate.holds(g) for g in r.gates(i, j))
     cased, begins = r.cased(i, j), r.begins(i, j)
-    ok = (b | a | right) & (s.owner[i] == s.owner[np.maximum(j - 1, 0)] if len(i) else False)
-    ok &= (cased & begins) | b | a
+    ok = (b | a | right) & ((cased & begins) | b | a)
     for x, y, c, g in zip(i[ok].tolist(), j[ok].tolist(), cased[ok].tolist(), begins[ok].tolist()):
         first = x
         if s.show(x) == "m" and s.show(y) in _AFTER_M and not s.word[x]:

@@ -12,7 +12,7 @@ from __future__ import annotations
 import numpy as np
 
 PAD = 4
-SPACE, LETTER, DIGIT, BREAK, SINGLE, EDGE, ENTITY = range(7)
+SPACE, LETTER, DIGIT, BREAK, SINGLE, EDGE, ENTITY, TICK = range(8)
 _STOP = frozenset(".!?;。！？…")
 _DASH = frozenset("-–—")
 _MASK = (1 << 64) - 1
@@ -38,7 +38,7 @@ class Alphabet:
         n = 0x110000
         self.known = np.zeros(n, dtype=bool)
         self.kind = np.zeros(n, dtype=np.uint8)
-        self.low = np.arange(n, dtype=np.uint32)
+        self.mixed = np.zeros(n, dtype=np.uint64)  # of the folded code point
         self.upper = np.zeros(n, dtype=bool)
         self.lower = np.zeros(n, dtype=bool)
         self.stop = np.zeros(n, dtype=bool)
@@ -51,6 +51,8 @@ class Alphabet:
             self.known[p] = True
             if c == "\x00":
                 kind = EDGE
+            elif c in "'’":
+                kind = TICK
             elif c == "\n":
                 kind = BREAK
             elif c.isspace():
@@ -63,7 +65,7 @@ class Alphabet:
                 kind = SINGLE
             self.kind[p] = kind
             low = c.lower()
-            self.low[p] = ord(low) if len(low) == 1 else p
+            self.mixed[p] = _scalar(ord(low) if len(low) == 1 else p)
             self.upper[p] = c.isupper()
             self.lower[p] = c.islower()
             self.stop[p] = c in _STOP
@@ -113,9 +115,9 @@ class Stream:
         #: Where each text begins in the joined one.
         self.base = PAD + np.concatenate([[0], np.cumsum(lengths + PAD)[:-1]]).astype(np.int64) if texts else np.zeros(0, np.int64)
         kind = abc.kind[points]
-        tick = np.flatnonzero((points == 39) | (points == 0x2019))
-        tick = tick[(kind[tick - 1] == LETTER) & (kind[np.minimum(tick + 1, len(kind) - 1)] == LETTER)] if len(tick) else tick
-        kind[tick] = LETTER
+        tick = np.flatnonzero(kind == TICK)
+        inside = (kind[tick - 1] == LETTER) & (kind[np.minimum(tick + 1, len(kind) - 1)] == LETTER)
+        kind[tick] = np.where(inside, LETTER, SINGLE)
         starts = np.ones(len(kind), dtype=bool)
         starts[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == SINGLE) | (kind[1:] == EDGE)
         folded = {}
@@ -129,11 +131,14 @@ class Stream:
             folded[x] = FOLDED[what]
         begin = np.flatnonzero(starts)
         end = np.append(begin[1:], len(kind))
-        place = np.arange(len(kind), dtype=np.int32) - np.repeat(begin, end - begin).astype(np.int32)
+        place = np.arange(len(kind), dtype=np.int32)
+        place -= np.repeat(begin.astype(np.int32), end - begin)
         powers = np.full(int(place.max()) + 1 if len(place) else 1, 0xD6E8FEB86659FD93, dtype=np.uint64)
         powers[0] = 1
         powers = np.multiply.accumulate(powers)
-        code = _mix(np.add.reduceat(_mix(abc.low[points].astype(np.uint64)) * powers[place], begin))
+        terms = abc.mixed[points]
+        terms *= powers[place]
+        code = _mix(np.add.reduceat(terms, begin))
         k, first = kind[begin], points[begin]
         code[k == DIGIT] = ZERO
         spaced = np.zeros(len(begin), dtype=bool)
@@ -148,9 +153,11 @@ class Stream:
         self.word = (self.kind == LETTER) & (self.end - self.begin > 1)
         self.cap = abc.upper[points[self.begin]]
         self.dot = points[self.begin] == ord(".")
-        lows = np.concatenate([[0], np.cumsum(abc.lower[points])])
-        self.all_upper = lows[self.end] == lows[self.begin]
-        self.owner = np.searchsorted(self.base, self.begin, side="right") - 1
+        self.all_upper = ~np.logical_or.reduceat(abc.lower[points], begin)[keep]
+
+    def owner(self, i):
+        """The text a token belongs to."""
+        return np.searchsorted(self.base, self.begin[i], side="right") - 1
 
     def at(self, i: np.ndarray) -> np.ndarray:
         """Codes at token places, the end of a text beyond the first and last."""

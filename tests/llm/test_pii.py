@@ -156,7 +156,7 @@ def test_shapes():
         ("番号M8647338を", "number", "M8647338"),
         ("on +44 (0)20 79460667 and", "number", "+44 (0)20 79460667"),
     ]:
-        assert [(k, text[a:b]) for a, b, k in P.shapes_of(text, True, True, True, True)[0]] == [(kind, span)], text
+        assert [(k, text[a:b]) for a, b, k in P.shapes_of(text, True, True, P.ADDRESSES, True)[0]] == [(kind, span)], text
     assert P.japanese_names("店で葉月島 みなとさんに", []) == [(2, 9, True)]
     assert [text[a:b] for text in ["山田太郎 水車町2-10-17に"] for a, b, _ in P.japanese_names(text, [(5, 14, "address")])] == ["山田太郎"]
 
