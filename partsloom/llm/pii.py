@@ -39,7 +39,7 @@ from partsloom.session import broadcast_if_small, cut_lineage
 #: are seeds; shares of a pattern's instances that must have its type.
 SUPPORT, SEED_SUPPORT = 3, 2
 NUMBER_CONFIDENCE, NAME_CONFIDENCE, ADDRESS_CONFIDENCE, WORD_SHARE, KNOWN_WORDS = 0.9, 0.6, 0.6, 0.1, 0.4
-ROUNDS = 4  # at most
+ROUNDS = 3  # at most
 #: Code points handled at once, in whole texts.
 CHUNK = 200_000
 

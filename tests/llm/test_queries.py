@@ -1,4 +1,6 @@
 import os
+import re
+from collections import Counter
 
 import pytest
 
@@ -26,3 +28,94 @@ def test_query_matches_its_sql(spark, name):
             con.execute(f"CREATE VIEW {f.removesuffix('.parquet')} AS SELECT * FROM '{DATA}/{f}'")
         cur = con.execute(sql)
         assert values(got, df.columns) == values(cur.fetchall(), [c[0] for c in cur.description])
+
+
+def rows(spark, name):
+    return [tuple(r) for r in entry.queries()[name](spark, DATA).collect()]
+
+
+def column(spark, table, *columns):
+    return [tuple(r) for r in spark.read.parquet(f"{DATA}/{table}.parquet").select(*columns).collect()]
+
+
+needs_data = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
+
+
+def folded(value):
+    """Phrases of a value, by plain string work."""
+    parts = re.split(r"[,;()]+|(?<!\b[Nn][Oo])\.[\s\xa0]+", re.sub(r"[\s.…\ufffd]+$", "", value))
+    return [f for f in ("".join(c for c in p.lower() if c.isalnum() or c == '"') for p in parts) if f]
+
+
+@needs_data
+def test_cut_values_begin_longer_ones(spark):
+    """Every row found stops where something must follow, or ends in the beginning of a longer phrase; rates add up."""
+    values = dict(column(spark, "page_n", "row_id", "description"))
+    found = {r[0] for r in rows(spark, "p3_found")}
+    phrases = sorted({p for v in values.values() if v for p in folded(v)} | {re.sub(r"\d", "0", p) for v in values.values() if v for p in folded(v)})
+    longer = {a for a, b in zip(phrases, phrases[1:]) if b.startswith(a) and a != b}
+    assert 0 < len(found) < len(values) / 5
+    for i in found:
+        v = re.sub(r"[\s.…\ufffd]+$", "", values[i])
+        last = folded(values[i])[-1]
+        assert re.search(r"[,;/&(]$", v) or v.count("(") > v.count(")") or last in longer or re.sub(r"\d", "0", last) in longer, values[i]
+    sources = Counter(s for i, s in column(spark, "page_n", "row_id", "source") if i in found)
+    rates = {s: (n, c) for s, n, c in rows(spark, "p3_rates")}
+    assert {s: c for s, (_, c) in rates.items() if c} == dict(sources)
+    assert sum(n for n, _ in rates.values()) == sum(v is not None for v in values.values())
+
+
+@needs_data
+def test_leaks_against_a_dynamic_program(spark):
+    from partsloom.llm import leakage as L
+
+    def nearest(p, t):
+        """Least edits between p and any stretch of t."""
+        row = [0] * (len(t) + 1)
+        for i, c in enumerate(p, 1):
+            new = [i]
+            for j, x in enumerate(t, 1):
+                new.append(min(row[j - 1] + (c != x), row[j] + 1, new[j - 1] + 1))
+            row = new
+        return min(row)
+
+    items = [(i, L.words(p)) for i, p in column(spark, "eval_items", "test_id", "passage") if p]
+    want = set()
+    for doc, text in column(spark, "documents", "doc_id", "text"):
+        t = L.words(text or "")
+        near = set(zip(t, t[1:]))
+        for i, p in items:
+            # 20 words with 4 errors hold some two neighbouring words unchanged.
+            if near.isdisjoint(zip(p, p[1:])):
+                continue
+            if any(nearest(p[s : s + 20], t) <= 4 for s in range(len(p) - 19)):
+                want.add((doc, i))
+    got = set(rows(spark, "p7_found"))
+    assert got == want and got
+    assert dict(rows(spark, "p7_items")) == dict(Counter(i for _, i in got))
+
+
+@needs_data
+def test_ids_of_every_document(spark):
+    texts = dict(column(spark, "documents", "doc_id", "text"))
+    ids = dict(rows(spark, "p6_ids"))
+    assert ids.keys() == texts.keys()
+    assert all((ids[k] == []) == (not t) for k, t in texts.items())
+
+
+@needs_data
+def test_personal_data_agrees_across_queries(spark):
+    from partsloom.llm import pii as P
+
+    texts = dict(column(spark, "documents", "doc_id", "text"))
+    found = {}
+    for k, kind, a, b in rows(spark, "p8_found"):
+        found.setdefault(k, []).append((kind, a, b))
+    assert dict(rows(spark, "p8_redacted")) == {k: P.placeholder_text(t, found.get(k, [])) for k, t in texts.items()}
+    assert dict(rows(spark, "p8_counts")) == dict(Counter(s[0] for v in found.values() for s in v))
+    for k, v in found.items():
+        for kind, a, b in v:
+            value = texts[k][a:b]
+            assert value == value.strip() and value
+            assert sum(x < b and a < y for _, x, y in v) == 1  # only itself
+            assert kind != "email" or re.search("@|＠|at|arroba", value, re.I)
