@@ -19,7 +19,7 @@ from partsloom.operators import tables as T
 from partsloom.schemas import COLUMNS, NA_SPELLINGS
 from partsloom.session import cut_lineage, stage_folder, table
 from partsloom.sources import readers, sinks
-from partsloom.streaming.pages import arrivals
+from partsloom.streaming.pages import arrivals_run
 
 # -- inputs
 
@@ -233,7 +233,11 @@ def cell_uocs(s, d):
 
 
 def line_arrivals(s, d):
-    return arrivals(table(s, d, "page_lines")).select(F.col("window.start").alias("hour"), "source", "n")
+    path = f"{d}/page_lines.parquet"
+    # A pattern, so that a table may be one file or a folder of files.
+    lines = s.readStream.schema(s.read.parquet(path).schema).parquet(path.replace(".parquet", ".parque[t]"))
+    root = _tree(s)
+    return arrivals_run(lines.select("received_at", "source"), f"{root}/counts", f"{root}/mark")
 
 
 def _mapped(col):

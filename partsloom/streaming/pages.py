@@ -37,3 +37,21 @@ def start(spark: SparkSession, path: str, out: str, checkpoint: str, cfg: Config
 def arrivals(rows: DataFrame, time: str = "received_at", late: str = "1 day", window: str = "1 hour") -> DataFrame:
     """Rows a window and source, with a watermark: late rows within `late` still count."""
     return rows.withWatermark(time, late).groupBy(F.window(time, window), "source").agg(F.count("*").alias("n"))
+
+
+def arrivals_run(stream: DataFrame, out: str, checkpoint: str, time: str = "received_at") -> DataFrame:
+    """(hour, source, n) of all rows a stream has brought so far, after a run over what is there.
+
+    State and watermark live in the checkpoint: a later run goes on from there, late rows within the watermark still
+    count, and each batch writes the windows it changed. The last count of a window holds.
+    """
+
+    def save(df: DataFrame, number: int) -> None:
+        rows = df.select(F.col("window.start").cast("timestamp_ntz").alias("hour"), "source", "n")
+        rows.write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    timed = stream.withColumn(time, F.col(time).cast("timestamp"))
+    run = arrivals(timed, time).writeStream.outputMode("update").foreachBatch(save)
+    run.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    rows = stream.sparkSession.read.parquet(out)
+    return rows.groupBy("hour", "source").agg(F.max_by("n", "batch").alias("n"))

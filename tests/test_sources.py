@@ -195,3 +195,20 @@ def test_arrivals_with_late_rows(spark):
     rows = spark.createDataFrame([(t(2024, 1, 1, 5, 7), "a"), (t(2024, 1, 1, 5, 50), "a"), (t(2024, 1, 1, 6, 0), None)], "received_at timestamp, source string")
     got = {(r.window.start.hour, r.source, r.n) for r in stream.arrivals(rows).collect()}
     assert got == {(5, "a", 2), (6, None, 1)}
+
+
+def test_arrivals_go_on_where_they_stopped(spark, tmp_path):
+    from datetime import datetime as t
+
+    source, out, mark = (str(tmp_path / x) for x in ("in", "out", "mark"))
+    schema = "received_at timestamp, source string"
+
+    def bring(*rows):
+        spark.createDataFrame(list(rows), schema).write.mode("append").parquet(source)
+        lines = spark.readStream.schema(schema).parquet(source)
+        return {(r.hour.day, r.hour.hour, r.source): r.n for r in stream.arrivals_run(lines, out, mark).collect()}
+
+    assert bring((t(2024, 1, 1, 5, 7), "a"), (t(2024, 1, 1, 5, 9), "a")) == {(1, 5, "a"): 2}
+    assert bring((t(2024, 1, 1, 5, 50), "a"), (t(2024, 1, 3, 8), "b")) == {(1, 5, "a"): 3, (3, 8, "b"): 1}
+    # Two days behind the newest row is beyond the watermark of a day.
+    assert bring((t(2024, 1, 1, 5, 55), "a"), (t(2024, 1, 3, 7), "b")) == {(1, 5, "a"): 3, (3, 8, "b"): 1, (3, 7, "b"): 1}
