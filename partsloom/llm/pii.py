@@ -508,7 +508,9 @@ def _promoted(tallies: DataFrame, spelling: bool) -> DataFrame:
 
 def _votes(nodes: DataFrame, by: str, patterns: DataFrame) -> DataFrame:
     """(id, type, share): the type most of a node's patterns speak for, and the share of them that are known."""
-    flat = nodes.select("id", F.size(F.array_distinct(by)).alias("size"), F.explode(F.array_distinct(by)).alias("key"))
+    # The mere shape of an address labels nothing: `For 12` has that of `Gerbergasse 12`.
+    told = F.filter(F.array_distinct(by), lambda k: ~k.startswith("a#"))
+    flat = nodes.select("id", F.size(told).alias("size"), F.explode(told).alias("key"))
     hit = flat.join(broadcast_if_small(patterns.select("key", "type", "score")), "key")
     sums = [F.sum(F.when(F.col("type") == t, F.col("score")).otherwise(0.0)).alias(f"t_{t}") for t in _TYPES]
     out = hit.groupBy("id").agg(*sums, (F.count("*") / F.max("size")).alias("share"))
