@@ -68,7 +68,7 @@ def test_documents_and_empty(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     docs = {r.pdf_id: json.loads(r.document) for r in P.pairing_documents(df).collect()}
     assert docs["d"]["pairing"] == {"1": {"figure_pages": [2], "figure_texts": ["Figure 1. x"], "table_pages": [3]}}
-    assert docs["e"]["pairing"] is None
+    assert docs["e"] == {"figures": [], "tables": [], "pairing": {}}
     empty = classify(df.limit(0))
     assert P.pairing(P.groups(empty)).count() == 0
 
