@@ -112,7 +112,7 @@ def explode_codes(df: DataFrame, key: str = "row_id", column: str = "uoc", least
         if measured(known)[1] <= BROADCAST_BYTES:
             near = split(src.join(F.broadcast(known), "skel"))
         else:
-            near = split(join_hot(cut_lineage(src), known, ["skel"], "_k"))
+            near = split(join_hot(cut_lineage(src), known, ["skel"], ["_k", "_v"]))
         # Few fields each: no skeleton is hot here.
         out = near.unionByName(split(src.join(rare, "skel")))
     return out.select(F.col("_k").alias(key), F.posexplode("codes").alias("pos", "code")).withColumn("pos", F.col("pos") + 1)

@@ -70,7 +70,7 @@ def render(pages: DataFrame, pdfs: DataFrame, renderer: Renderer, dpi: int = DPI
     def run(pdf):
         import pandas as pd
 
-        todo = list(zip(pdf["kind"], pdf["page_number"].astype(int)))
+        todo = sorted(zip(pdf["kind"], pdf["page_number"].astype(int)), key=lambda x: (x[1], x[0]))
         rows = [(pdf["pdf_id"].iloc[0], k, p, png) for k, p, png in renderer(pdf["path"].iloc[0], todo, dpi)]
         return pd.DataFrame(rows, columns=["pdf_id", "kind", "page_number", "png"])
 

@@ -75,10 +75,10 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes:
     return F.broadcast(df) if rows <= max_rows and width <= max_bytes else df
 
 
-def join_hot(left: DataFrame, right: DataFrame, keys: list[str], spread: str, hot: int = HOT) -> DataFrame:
+def join_hot(left: DataFrame, right: DataFrame, keys: list[str], spread: list[str], hot: int = HOT) -> DataFrame:
     """Inner join of two stages in which a key may hold a large part of `left`.
 
-    Keys with more than one in `hot` of all rows of `left` are salted by the hash of column
+    Keys with more than one in `hot` of all rows of `left` are salted by the hash of the columns
     `spread`; `right`'s rows of such keys are copied to every salt. The table of hot keys has
     fewer than `hot` rows, so it is broadcast.
     """
@@ -90,7 +90,7 @@ def join_hot(left: DataFrame, right: DataFrame, keys: list[str], spread: str, ho
     if heavy.isEmpty():
         return left.join(right, keys)
     heavy = F.broadcast(heavy)
-    a = left.join(heavy, keys, "left").withColumn(salt, F.pmod(F.xxhash64(spread), F.coalesce(salts, F.lit(1))).cast("int")).drop(salts)
+    a = left.join(heavy, keys, "left").withColumn(salt, F.pmod(F.xxhash64(*spread), F.coalesce(salts, F.lit(1))).cast("int")).drop(salts)
     b = right.join(heavy, keys, "left").withColumn(salt, F.explode(F.sequence(F.lit(0), F.coalesce(salts, F.lit(1)) - 1))).drop(salts)
     return a.join(b, [*keys, salt]).drop(salt)
 
