@@ -264,7 +264,7 @@ def copies(df: DataFrame, key: str = "row_id", a: str = "part_no", b: str = "des
     first = F.min_by(F.struct("a", "b"), "row_id")
     groups = rows.groupBy("k1", "k2").agg(F.min("row_id").alias("keep_id"), first.alias("f"), F.count("*").alias("n")).where("n > 1")
     groups = cut_lineage(groups.select("k1", "k2", "keep_id", F.col("f.a").alias("a0"), F.col("f.b").alias("b0")))
-    pairs = join_hot(rows, groups, ["k1", "k2"], "row_id").where(F.col("row_id") != F.col("keep_id"))
+    pairs = join_hot(rows, groups, ["k1", "k2"], ["row_id"]).where(F.col("row_id") != F.col("keep_id"))
     checked = cut_lineage(_verified(pairs.select("row_id", "keep_id", "k1", "k2", "a", "b", "a0", "b0")))
     good = checked.where("rest is null").select("keep_id", "row_id")
     # Collisions: rare rows, grouped exactly. Copies of one text could be many, so aggregate, then join.

@@ -248,10 +248,10 @@ def _joined(src: DataFrame, wanted: DataFrame) -> DataFrame:
 
     texts = cut_lineage(src.mapInArrow(pieces_of_texts, f"rid bigint, k {kind}, t string, pieces array<bigint>"))
     hits = cut_lineage(texts.select("rid", F.explode("pieces").alias("piece")))
-    both = join_hot(hits, pieces, ["piece"], "rid").groupBy("rid", "item").agg(F.count("*").alias("n")).where("n > 1").select("rid", "item")
+    both = join_hot(hits, pieces, ["piece"], ["rid"]).groupBy("rid", "item").agg(F.count("*").alias("n")).where("n > 1").select("rid", "item")
     pairs = both.join(texts.select("rid", "k", "t"), "rid")
     # An item may be in a third of all texts, a text may hold many items: texts come by their own row, items salted.
-    pairs = join_hot(cut_lineage(pairs), wanted, ["item"], "rid")
+    pairs = join_hot(cut_lineage(pairs), wanted, ["item"], ["rid"])
 
     def verify(batches):
         import pyarrow as pa

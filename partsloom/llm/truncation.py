@@ -80,7 +80,7 @@ def _masked(phrase: Column) -> Column:
 def dangling(value: Column) -> Column:
     """Whether a value stops where something must follow."""
     t = _trimmed(value)
-    opened = F.length(F.regexp_replace(t, r"[^(]", "")) > F.length(F.regexp_replace(t, r"[^)]", ""))
+    opened = F.length(F.replace(t, F.lit("("), F.lit(""))) < F.length(F.replace(t, F.lit(")"), F.lit("")))
     return t.rlike(_DANGLING) | opened
 
 
@@ -88,11 +88,12 @@ def folded_rows(df: DataFrame, value: str, source: str | None) -> tuple[DataFram
     """A stage of the rows with their folded phrases (joined by commas), last phrase, length and source; the names of these columns."""
     names = dict(zip(("v", "p", "m", "l", "s", "d"), fresh_names(df, "_v", "_p", "_m", "_l", "_s", "_d")))
     v, p = names["v"], names["p"]
-    rows = df.where(F.col(value).isNotNull()).withColumn(v, F.array_join(_spaced(F.col(value)), ",")).where(F.col(v) != "")
+    rows = df.where(F.col(value).isNotNull()).withColumn(v, F.array_join(_spaced(F.col(value)), ","))
     rows = rows.withColumn(p, _joined(F.substring_index(v, ",", -1)))
     rows = rows.withColumn(names["m"], F.when(F.col(p).rlike(r"\p{N}"), F.concat(F.lit("#"), _masked(F.col(p)))))
     rows = rows.withColumn(names["l"], F.length(F.col(value))).withColumn(names["s"], F.col(source).cast("string") if source else F.lit(None).cast("string"))
-    return cut_lineage(rows.withColumn(names["d"], dangling(F.col(value)))), names
+    # Values without a phrase are left out behind the stage: a filter before it would fold every value again.
+    return cut_lineage(rows.withColumn(names["d"], dangling(F.col(value)))).where(F.col(v) != ""), names
 
 
 def phrase_weights(values: DataFrame) -> DataFrame:
@@ -165,18 +166,18 @@ def _flagged(rows: DataFrame, column: str, phrases: DataFrame, flag: str) -> Dat
         return rows.withColumn(flag, F.lit(None).cast("boolean"))
     held = rows.join(hit.select(column), column, "left_semi")
     others = rows.join(hit.select(column), column, "left_anti").withColumn(flag, F.lit(None).cast("boolean"))
-    return join_hot(held, hit, [column], held.columns[0]).unionByName(others)
+    return join_hot(held, hit, [column], [c for c in held.columns if c != column]).unionByName(others)
 
 
-def limit_phrases(rows: DataFrame, names: dict[str, str], weighed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """((s, l) of field limits, phrases that are cut there): both staged. `rows` carry `cut` for their own evidence."""
-    v, p, m, s, l_ = (F.col(names[k]) for k in ("v", "p", "m", "s", "l"))
+def limit_phrases(rows: DataFrame, weighed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """((s, l) of field limits, phrases that are cut there): both staged. `rows` are (v, p, m, l, s, cut): folded value, last
+    phrase, its masked form, length, source, and whether the row's own evidence says it was cut."""
     # Distinct values by their hash: eight bytes are shuffled for each, and one collision changes a count by one.
-    values = rows.groupBy(s.alias("s"), l_.alias("l"), F.xxhash64(v).alias("h")).agg(F.max(F.col("cut").cast("int")).alias("cut"))
+    values = rows.groupBy("s", "l", F.xxhash64("v").alias("h")).agg(F.max(F.col("cut").cast("int")).alias("cut"))
     spots = values.groupBy("s", "l").agg(F.count("*").alias("all"), F.sum("cut").alias("bad"))
-    spots = cut_lineage(spots.where((F.col("bad") >= SPIKE_VALUES) & (F.col("bad") >= F.col("all") * SPIKE)).select("s", "l"))
-    at = rows.where(~F.col("cut")).join(broadcast_if_small(spots), s.eqNullSafe(F.col("s")) & (l_ == F.col("l")), "left_semi")
-    here = at.select(v.alias("v"), F.explode(F.array(p, m)).alias("phrase")).where("phrase is not null").distinct().groupBy("phrase").agg(F.count("*").alias("here"))
+    spots = cut_lineage(spots.where((F.col("bad") >= SPIKE_VALUES) & (F.col("bad") >= F.col("all") * SPIKE)).select(F.col("s").alias("at_s"), F.col("l").alias("at_l")))
+    at = rows.where("not cut").join(broadcast_if_small(spots), F.col("s").eqNullSafe(F.col("at_s")) & (F.col("l") == F.col("at_l")), "left_semi")
+    here = at.select("v", F.explode(F.array("p", "m")).alias("phrase")).where("phrase is not null").distinct().groupBy("phrase").agg(F.count("*").alias("here"))
     ok = (F.col("n") - F.col("here")) <= F.col("ext") * F.col("bound")
     return spots, cut_lineage(here.join(weighed.where("not cut"), "phrase").where(ok).select("phrase"))
 
@@ -187,17 +188,17 @@ def truncated(df: DataFrame, value: str = "description", ratio: float = RATIO, m
     rows, names = folded_rows(df, value, source)
     weighed = weighed_phrases(phrase_weights(rows.select(F.col(names["v"]).alias("v"))), ratio, masked_ratio)
     cut = cut_lineage(weighed.where("cut").select("phrase"))
-    c1, c2, c3, c4 = fresh_names(rows, "_c1", "_c2", "_c3", "_c4")
+    c1, c2, c3, c4, c5, at_s, at_l = fresh_names(rows, "_c1", "_c2", "_c3", "_c4", "_c5", "_at_s", "_at_l")
     p, m = names["p"], names["m"]
     plain, masked = ~F.col("phrase").startswith("#"), F.col("phrase").startswith("#")
     rows = _flagged(_flagged(rows, p, cut.where(plain), c1), m, cut.where(masked), c2)
     own = F.col(c1).isNotNull() | F.col(c2).isNotNull() | F.col(names["d"])
-    spots, more = limit_phrases(rows.withColumn("cut", own), names, weighed)
+    spots, more = limit_phrases(rows.select(*[F.col(names[k]).alias(k) for k in ("v", "p", "m", "l", "s")], own.alias("cut")), weighed)
     if not more.isEmpty():
         rows = _flagged(_flagged(rows, p, more.where(plain), c3), m, more.where(masked), c4)
-        limit = spots.select(F.col("s").alias("_ls"), F.col("l").alias("_ll"), F.lit(True).alias("_limit"))
-        rows = rows.join(broadcast_if_small(limit), F.col(names["s"]).eqNullSafe(F.col("_ls")) & (F.col(names["l"]) == F.col("_ll")), "left")
-        own = own | (F.col("_limit").isNotNull() & (F.col(c3).isNotNull() | F.col(c4).isNotNull()))
+        limit = spots.select(F.col("at_s").alias(at_s), F.col("at_l").alias(at_l), F.lit(True).alias(c5))
+        rows = rows.join(broadcast_if_small(limit), F.col(names["s"]).eqNullSafe(F.col(at_s)) & (F.col(names["l"]) == F.col(at_l)), "left")
+        own = own | (F.col(c5).isNotNull() & (F.col(c3).isNotNull() | F.col(c4).isNotNull()))
     return rows.where(own).select(*df.columns)
 
 

@@ -1,6 +1,6 @@
 from partsloom.llm import truncation as T
 
-SCHEMA = "row_id bigint, source string, description string, _phrase string, phrase string, n string"
+SCHEMA = "row_id bigint, source string, description string, s string, phrase string, v string"
 WORDS = ["STAINLESS STEEL", "HEX HEAD", "ZINC PLATED", "SUPPLIED WITHOUT FASTENERS", "M8 X 45", "12 X 30 MM", "NO. 8-32", "1/4 IN", '1/2"', "LEFT HAND", "STYLE MÉRIDOR"]
 
 
