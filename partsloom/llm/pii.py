@@ -133,16 +133,24 @@ _MANY = 5, 8, 6  # digits of a number that is a candidate; of one that is folded
 _CODES = {name: np.array([K.code_of(w) for w in words], dtype=np.uint64) for name, words in (("forms", FORMS), ("particles", PARTICLES), ("hyphen", "-"), ("comma", ","), ("slash", "/"))}
 
 
+def _either(shapes) -> str:
+    return "|".join(f"(?:{s.pattern})" for s in shapes)
+
+
+_LABELS = re.compile(rf"(?P<none>{_either(OTHER_SHAPES)})|(?P<id>{_either(ID_SHAPES)})|(?P<phone>{_either(COUNTRY_SHAPES + PHONE_SHAPES)})", re.I)
+_COUNTRY = re.compile(_either(COUNTRY_SHAPES))
+_MASK = str.maketrans({c: "9" if c.isdigit() else "A" for c in map(chr, range(128)) if c.isalnum()})
+
+
 def label_of(value: str) -> str | None:
-    """The type a seed's shape gives away: id, phone, none (order, batch, serial), or null."""
-    for label, shapes in (("none", OTHER_SHAPES), ("id", ID_SHAPES), ("phone", COUNTRY_SHAPES + PHONE_SHAPES)):
-        if any(s.fullmatch(value) for s in shapes):
-            return label
-    return None
+    """The type a seed's shape gives away: none (order, batch, serial), id, phone, or null."""
+    m = _LABELS.fullmatch(value)
+    return m.lastgroup if m else None
 
 
 def mask(value: str) -> str:
-    return re.sub(r"[^\W\d_]", "A", re.sub(r"\d", "9", value))
+    """The shape of a number: digits as 9, letters as A."""
+    return value.translate(_MASK)
 
 
 def _numbers(text: str):
@@ -370,28 +378,28 @@ class Reader:
     def words_of(self, i: int, j: int) -> list[str]:
         return [f"w {self.s.show(k)}" for k in range(i, j) if self.s.word[k]]
 
-    def places(self, t: int, a: int, b: int) -> tuple[int, int]:
-        """Tokens of a span of a text."""
-        x = int(self.s.base[t])
-        return int(np.searchsorted(self.s.begin, x + a)), int(np.searchsorted(self.s.begin, x + b))
+    def places(self, rows: list[tuple]) -> list[tuple[int, int]]:
+        """First token and token behind the last of spans (text, start, end, ...)."""
+        if not rows:
+            return []
+        t, a, b = (np.fromiter((r[k] for r in rows), dtype=np.int64, count=len(rows)) for k in range(3))
+        x = self.s.base[t]
+        return list(zip(np.searchsorted(self.s.begin, x + a).tolist(), np.searchsorted(self.s.begin, x + b).tolist()))
 
     def shaped(self):
         """(text, start, end, kind, label, sure, marks, contexts) of all candidates but names in tokens."""
         for rows, firm in ((self.spans, True), (self.loose, False)):
-            for t, a, b, kind in rows:
+            for (t, a, b, kind), (i, j) in zip(rows, self.places(rows)):
                 value = self.texts[t][a:b]
                 if kind == "email":
                     yield t, a, b, "e", "email", True, [], []
-                    continue
-                i, j = self.places(t, a, b)
-                if kind == "number":
-                    sure = firm and any(x.fullmatch(value) for x in COUNTRY_SHAPES)
+                elif kind == "number":
+                    sure = firm and _COUNTRY.fullmatch(value) is not None
                     yield t, a, b, "n", label_of(value), sure, [f"n# {mask(value)}"], self.side_keys("n", i, j)
                 else:
                     words = [f"a {w}" for w in dict.fromkeys(_WORD.findall(value.lower()))]
                     yield t, a, b, "a", "address" if firm else None, False, [*words, f"a# {_SHAPE.sub(lambda m: '9' if m[0][0].isdigit() else 'w', value)}"], self.side_keys("a", i, j)
-        for t, a, b, seed in self.japanese:
-            i, j = self.places(t, a, b)
+        for (t, a, b, seed), (i, j) in zip(self.japanese, self.places(self.japanese)):
             value = self.texts[t][a:b]
             yield t, a, b, "j", "name" if seed else None, False, [f"j {value[:2]}", f"j+ {re.sub('^.[^ 　]{1,2}[ 　]?', '', value)}"], self.side_keys("j", i, j)
 
