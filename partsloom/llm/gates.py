@@ -31,6 +31,17 @@ class Gate:
         return out
 
 
+def gate_here(codes: np.ndarray) -> Gate:
+    """The filter of codes that are at hand."""
+    codes, size = codes.astype(np.int64).view(np.uint64), 1 << 15
+    while size < min(len(codes) * PER_CODE, MOST):
+        size *= 2
+    bits = np.zeros(size, dtype=np.uint8)
+    for shift in _SHIFTS:
+        bits[((codes >> np.uint64(shift)) & np.uint64(size - 1)).astype(np.int64)] = 1
+    return Gate(size, np.packbits(bits, bitorder="little"))
+
+
 def gate_of(codes: DataFrame) -> Gate:
     """The filter of a frame's first column (bigint); nulls are left out."""
     codes = codes.toDF("code").where("code is not null")

@@ -13,9 +13,10 @@ seeds' shapes are patterns like others, so contexts overrule them where they wei
 
 Patterns are learned from all texts and applied to all texts, two narrow passes. The second
 looks for names in any case at places whose context may be a learned pattern: it asks a Bloom
-filter of fixed size, and the exact join with the pattern table follows in Spark. So
-nothing that grows with the corpus is broadcast, and no pattern is dropped for room. Shuffled
-are distinct instances, counts by pattern and the candidates of the second pass, not texts.
+filter of bounded size. Patterns measured to be few (`BROADCAST_ROWS`, `BROADCAST_BYTES`) are
+broadcast and decide on the spot; more are joined with the candidates in Spark. So nothing that
+grows without bound is broadcast, and no pattern is dropped for room. Shuffled are distinct
+instances, counts by pattern and, with many patterns, candidates; not texts.
 
 Defined results: null, empty and blank texts give no spans and come out unchanged; spans of
 one text don't overlap; the same value twice gives two spans; equal rows give equal spans each;
@@ -32,8 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from partsloom.llm import tokens as K
-from partsloom.llm.gates import Gate, gate_of, shared_gate
-from partsloom.session import broadcast_if_small, cut_lineage
+from partsloom.llm.gates import Gate, Shared, gate_here, gate_of, shared_gate
+from partsloom.session import BROADCAST_BYTES, BROADCAST_ROWS, broadcast_if_small, cut_lineage, measured
 
 #: Support of a pattern, and of spellings of addresses, names behind a form of address and Japanese names, most of which
 #: are seeds; shares of a pattern's instances that must have its type.
@@ -657,12 +658,97 @@ def _decided(found: DataFrame, patterns: DataFrame) -> DataFrame:
     return out.select("k", "rid", F.col("s.w").alias("pii_type"), F.col("s.a").alias("start_pos"), F.col("s.b").alias("end_pos"))
 
 
-def personal_spans(df: DataFrame, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS, patterns: DataFrame | None = None) -> DataFrame:
-    """(key, pii_type, start_pos, end_pos) in code points, end exclusive. `patterns`, if given, are used as they are."""
+class Judge:
+    """Patterns at hand and the decision over a text's candidates: what `_decided` says in Spark."""
+
+    def __init__(self, patterns: list[tuple[str, str, float, int | None]]):
+        self.patterns = {k: (t, s) for k, t, s, _ in patterns}
+        self.gate = gate_here(np.array([g for *_, g in patterns if g is not None], dtype=np.int64))
+
+    def verdict(self, row: list) -> tuple[float, int, int, str] | None:
+        """(-rank, start, end, type) of a candidate, or None."""
+        kind, seed, sure, a, b, _, keys, cased, begins, lead, width = row
+        if kind == "e":
+            return -100.0, a, b, "email"
+        sums, near, left, hit = {}, 0.0, False, False
+        for key in keys:
+            if p := self.patterns.get(key):
+                hit = True
+                sums[p[0]] = sums.get(p[0], 0.0) + p[1]
+                if not (key[0] in "na" and key[1] in "# "):
+                    near += p[1]
+                left = left or key[:2] in ("wB", "wA")
+        what = None
+        if kind == "n":
+            what = max((sums.get(t, 0.0), t) for t in ("phone", "id", "none"))[1] if hit else seed if sure else None
+        elif kind == "a":
+            what = "address" if sums.get("address", 0.0) > 0 and (seed or near > 0) else None
+        elif sums.get("name", 0.0) > 0 and (kind != "w" or (cased and begins) or left):
+            what = "name"
+        if what is None or what == "none":
+            return None
+        rank = sums["name"] + 4 * cased + 2 * left + lead + 0.01 * width if kind == "w" else 9.0 if kind == "f" else 100.0 if seed else 1.0
+        return -rank, a, b, what
+
+    def spans(self, rows: list[list]) -> list[tuple[str, int, int]]:
+        """(type, start, end) of a text's spans, best first within groups of overlapping candidates."""
+        groups: dict[int, list] = {}
+        for r in rows:
+            if v := self.verdict(r):
+                groups.setdefault(r[5], []).append(v)
+        out = []
+        for found in groups.values():
+            kept: list[tuple] = []
+            for v in sorted(found):
+                if all(v[2] <= k[1] or k[2] <= v[1] for k in kept):
+                    kept.append(v)
+            out += [(w, a, b) for _, a, b, w in kept]
+        return out
+
+    def read(self, column):
+        """(place, spans) of the texts of an Arrow column that have spans."""
+        for start, r in _readers(column):
+            for t, rows in _found(r, self.gate).items():
+                if spans := self.spans(rows):
+                    yield start + t, spans
+
+
+def _few(patterns: DataFrame, most: int) -> bool:
+    rows, size = measured(patterns)
+    return rows <= most and size <= BROADCAST_BYTES
+
+
+def _judge(patterns: DataFrame) -> Shared:
+    rows = [tuple(r) for r in patterns.select("key", "type", "score", "gate").collect()]  # measured before
+    return Shared(patterns.sparkSession, rows, Judge)
+
+
+def personal_spans(df: DataFrame, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS, patterns: DataFrame | None = None, most: int = BROADCAST_ROWS) -> DataFrame:
+    """(key, pii_type, start_pos, end_pos) in code points, end exclusive. `patterns`, if given, are used as they are.
+
+    Up to `most` patterns (and BROADCAST_BYTES) are broadcast and candidates are decided where
+    they are found; more are joined with the candidates in Spark, to the same result.
+    """
     if patterns is None:
         patterns = cut_lineage(learned_patterns(df, text, rounds))
-    out = _decided(_applied(df, key, text, patterns), patterns)
-    return out.select(F.col("k").alias(key), "pii_type", "start_pos", "end_pos")
+    if not _few(patterns, most):
+        out = _decided(_applied(df, key, text, patterns), patterns)
+        return out.select(F.col("k").alias(key), "pii_type", "start_pos", "end_pos")
+    judge = _judge(patterns)
+    src = _readable(df, key, text)
+
+    def run(batches):
+        import pyarrow as pa
+
+        j = judge.get()
+        for batch in batches:
+            rows = [(n, *s) for n, spans in j.read(batch.column(0)) for s in spans]
+            n, types, starts, ends = list(zip(*rows)) or [()] * 4
+            columns = [batch.column(1).take(pa.array(n, pa.int64())), pa.array(types, pa.string()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, names=["k", "pii_type", "start_pos", "end_pos"])
+
+    out = src.mapInArrow(run, f"k {src.schema['k'].dataType.simpleString()}, pii_type string, start_pos int, end_pos int")
+    return out.withColumnRenamed("k", key)
 
 
 def placeholder_text(text: str | None, spans: list[tuple[str, int, int]]) -> str | None:
@@ -676,14 +762,33 @@ def placeholder_text(text: str | None, spans: list[tuple[str, int, int]]) -> str
     return "".join([*out, text[at:]])
 
 
-def redacted(df: DataFrame, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS, patterns: DataFrame | None = None) -> DataFrame:
-    """(key, text): every text with its personal data replaced by typed placeholders.
-
-    Spans are brought back by key and the hash of the text, so that a null or repeated key does no harm.
-    """
+def redacted(df: DataFrame, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS, patterns: DataFrame | None = None, most: int = BROADCAST_ROWS) -> DataFrame:
+    """(key, text): every text with its personal data replaced by typed placeholders."""
     if patterns is None:
         patterns = cut_lineage(learned_patterns(df, text, rounds))
-    rows = df.select(F.col(key).alias("k"), F.col(text).alias("t")).withColumn("h", F.sha2("t", 256))
+    rows = df.select(F.col(key).alias("k"), F.col(text).alias("t"))
+    if not _few(patterns, most):
+        return _redacted_by_join(rows, patterns).withColumnRenamed("k", key)
+    judge = _judge(patterns)
+
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        j = judge.get()
+        for batch in batches:
+            texts = batch.column(1)
+            out = texts.to_pylist()
+            for n, spans in j.read(pc.fill_null(texts, "")):
+                out[n] = placeholder_text(out[n], spans)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["k", "text"])
+
+    return rows.mapInArrow(run, f"k {rows.schema['k'].dataType.simpleString()}, text string").withColumnRenamed("k", key)
+
+
+def _redacted_by_join(rows: DataFrame, patterns: DataFrame) -> DataFrame:
+    """(k, text) by a join with the spans, by key and hash of the text: a null or repeated key does no harm."""
+    rows = rows.withColumn("h", F.sha2("t", 256))
     src = rows.where(F.col("t").isNotNull()).select(F.struct("k", "h").alias("id"), "t")
     spans = _decided(_applied(src, "id", "t", patterns), patterns)
     span = F.struct(F.col("start_pos").alias("a"), F.col("end_pos").alias("b"), "pii_type")
@@ -693,4 +798,4 @@ def redacted(df: DataFrame, key: str = "doc_id", text: str = "text", rounds: int
     step = lambda at, s: F.struct(F.concat(at["out"], F.substring(F.col("t"), at["at"] + 1, s["a"] - at["at"]), F.lit("["), F.upper(s["pii_type"]), F.lit("]")).alias("out"), s["b"].alias("at"))
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
     done = F.aggregate("spans", start, step, lambda at: F.concat(at["out"], F.substring(F.col("t"), at["at"] + 1, F.lit(2147483647) - at["at"] - 1)))
-    return joined.select(F.col("k").alias(key), F.when(F.col("spans").isNull(), F.col("t")).otherwise(done).alias("text"))
+    return joined.select("k", F.when(F.col("spans").isNull(), F.col("t")).otherwise(done).alias("text"))

@@ -138,8 +138,18 @@ def test_redaction_agrees_with_the_spans(spark, patterns):
     found = {}
     for r in P.personal_spans(df, patterns=patterns).collect():
         found.setdefault(r.doc_id, []).append((r.pii_type, r.start_pos, r.end_pos))
-    got = {r.doc_id: r.text for r in P.redacted(df, patterns=patterns).collect()}
-    assert got == {k: P.placeholder_text(t, found.get(k, [])) for k, t, _ in docs}
+    for most in (P.BROADCAST_ROWS, 1):
+        got = {r.doc_id: r.text for r in P.redacted(df, patterns=patterns, most=most).collect()}
+        assert got == {k: P.placeholder_text(t, found.get(k, [])) for k, t, _ in docs}
+
+
+def test_joined_patterns_give_the_same_spans(spark, patterns):
+    """Beyond the broadcast bound candidates are decided by joins, to the same rows; repeated rows keep their own."""
+    docs = documents(300, seed=6)
+    rows = [(k, t) for k, t, _ in docs] + [(k, t) for k, t, _ in docs[:40]] + [(None, t) for _, t, _ in docs[:20]]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    near, far = (sorted(map(str, P.personal_spans(df, patterns=patterns, most=m).collect())) for m in (P.BROADCAST_ROWS, 1))
+    assert near == far and len(near) > 300
 
 
 def test_shapes():
@@ -169,10 +179,10 @@ def test_long_text(spark):
 
 def test_gate_holds_every_code(spark, patterns):
     codes = np.array([r.gate for r in patterns.where("gate is not null").collect()], dtype=np.int64)
-    gate = P.gate_of(patterns.select("gate"))
-    assert len(codes) and gate.holds(codes.astype(np.uint64)).all()
     others = np.random.default_rng(1).integers(0, 1 << 63, 10_000, dtype=np.uint64)
-    assert gate.holds(others).mean() < 0.05
+    made, here = P.gate_of(patterns.select("gate")), P.gate_here(codes)
+    assert made.size == here.size and (made.bits == here.bits).all()
+    assert len(codes) and made.holds(codes.astype(np.uint64)).all() and made.holds(others).mean() < 0.05
 
 
 def test_placeholders_keep_the_rest():
