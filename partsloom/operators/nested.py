@@ -57,17 +57,28 @@ def items(v: Column) -> Column:
     return F.when(_absent(v), none).otherwise(F.coalesce(_get(v, "$", "array<variant>"), F.array(v)))
 
 
+#: A field name that stands behind a text to show that the parser got there.
+_BEHIND = "behind-5b1f6d0c"
+
+
 def valid_json(text: Column) -> Column:
     """The VARIANT of a text that is exactly one JSON value, else null.
 
-    The parser stops after the first value, so trailing text would pass. Inside `[...]`
-    such text is an error or a second entry, unless it closes the bracket itself; then it
-    is an error inside `{...}`.
+    The parser stops after the first value, so trailing text would pass. Here the text stands in an array inside
+    an object with a field behind it: text that closes either before its own end loses that field, text
+    with a second value gives a second entry. A text that holds the field's name itself is
+    parsed a second time instead, inside an object alone.
     """
-    in_array = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    in_object = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
-    entries = let(_get(in_array, "$", "array<variant>"), lambda a: F.when(F.size(a) == 1, a[0]))
-    return F.when(in_object.isNotNull(), entries)
+    entries = lambda v: let(_get(v, "$.v", "array<variant>"), lambda a: F.when(F.size(a) == 1, a[0]))
+    whole = let(
+        F.try_parse_json(F.concat(F.lit('{"v":['), text, F.lit(f'],"{_BEHIND}":0}}'))),
+        lambda v: F.when(_get(v, f"$['{_BEHIND}']").isNotNull(), entries(v)),
+    )
+    twice = F.when(
+        F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}"))).isNotNull(),
+        let(_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), "$", "array<variant>"), lambda a: F.when(F.size(a) == 1, a[0])),
+    )
+    return F.when(text.contains(_BEHIND), twice).otherwise(whole)
 
 
 @dataclass(frozen=True)
@@ -241,19 +252,26 @@ def compile_tree(df: DataFrame, column: str = "metadata", keys: tuple[str, ...]
 def _nodes(e: Column, wanted: list[str]) -> Column:
     """Positions and states of a tree's nodes in the wanted states, in one array."""
 
+    struct = "struct<level:string,state:string,region_no:int,line_no:int,span_no:int>"
+
     def node(level: str, state: Column, *at: Column) -> Column:
+        """An array of the node, or of nothing where its state isn't wanted."""
+        asked = [x for x in states(level[:-1]) if x in wanted]
+        none = F.array().cast(f"array<{struct}>")
+        if not asked:
+            return none
         places = [*at, *[F.lit(-1)] * (3 - len(at))]
-        return F.struct(F.lit(level).alias("level"), state.alias("state"), *[p.alias(n) for p, n in zip(places, ("region_no", "line_no", "span_no"))])
+        one = F.array(F.struct(F.lit(level).alias("level"), state.alias("state"), *[p.alias(n) for p, n in zip(places, ("region_no", "line_no", "span_no"))]))
+        return one if len(asked) == len(states(level[:-1])) else F.when(state.isin(*asked), one).otherwise(none)
 
     def of_line(r: Column, ln: Column) -> Column:
-        spans = F.transform(ln["spans"], lambda s: node("spans", s["state"], r["region_no"], ln["line_no"], s["span_no"]))
-        return F.concat(F.array(node("lines", ln["state"], r["region_no"], ln["line_no"])), spans)
+        spans = F.flatten(F.transform(ln["spans"], lambda s: node("spans", s["state"], r["region_no"], ln["line_no"], s["span_no"])))
+        return F.concat(node("lines", ln["state"], r["region_no"], ln["line_no"]), spans)
 
     def of_region(r: Column) -> Column:
-        return F.concat(F.array(node("regions", r["state"], r["region_no"])), F.flatten(F.transform(r["lines"], lambda ln: of_line(r, ln))))
+        return F.concat(node("regions", r["state"], r["region_no"]), F.flatten(F.transform(r["lines"], lambda ln: of_line(r, ln))))
 
-    every = F.concat(F.array(node("elements", e["state"])), F.flatten(F.transform(e["regions"], of_region)))
-    return F.filter(every, lambda n: n["state"].isin(*wanted))
+    return F.concat(node("elements", e["state"]), F.flatten(F.transform(e["regions"], of_region)))
 
 
 def routed(df: DataFrame, wanted: list[str], column: str = "metadata", keys: tuple[str, ...] = KEYS) -> DataFrame:
